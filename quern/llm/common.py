@@ -14,7 +14,7 @@ U64 = np.uint64
 _R = U64(0x9E3779B97F4A7C15 | 1)
 _RINV = U64(pow(int(_R), -1, 1 << 64))
 #: Bytes of text that one numpy pass handles; a longer text makes a pass of its own.
-PASS_BYTES = 2_000_000
+PASS_BYTES = 500_000
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import minhash, toxicity
+from quern.llm import minhash, suffix, toxicity
 from quern.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,9 +23,31 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that documents share."""
+    return suffix.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
-SQL: dict[str, str] = {}
+#: All windows of 50 words, grouped by their hash; spans of the windows that two documents or more hold.
+REPEATS_SQL = r"""
+with words as (select doc_id, list_filter(string_split_regex(text, '[\t\n\x0B\f\r ]+'), lambda x: x <> '') as w from documents where text is not null and doc_id is not null),
+starts as (select doc_id, w, unnest(range(len(w) - 49)) as s from words where len(w) >= 50),
+windows as (select doc_id, s, hash(array_to_string(w[s + 1 : s + 50], ' ')) as h from starts),
+classes as (select h, min(doc_id) as f from windows group by h having min(doc_id) < max(doc_id)),
+hits as (select doc_id, s, doc_id > f as later from windows join classes using (h)),
+marked as (select 'every' as kind, doc_id, s from hits union all select 'cut', doc_id, s from hits where later),
+edges as (select *, case when s <= lag(s) over (partition by kind, doc_id order by s) + 50 then 0 else 1 end as fresh from marked),
+islands as (select *, sum(fresh) over (partition by kind, doc_id order by s) as island from edges),
+spans as (select kind, doc_id, min(s) as a, max(s) + 50 as b from islands group by kind, doc_id, island)
+select e.doc_id, e.a as start_word, e.b - e.a as n_words, coalesce(sum(c.b - c.a), 0)::bigint as cut_words
+from (select * from spans where kind = 'every') e left join (select * from spans where kind = 'cut') c on c.doc_id = e.doc_id and c.a >= e.a and c.a < e.b
+group by e.doc_id, e.a, e.b
+"""
+
+SQL: dict[str, str] = {"op7_suffix_array_dedup": REPEATS_SQL}

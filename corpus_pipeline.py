@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import minhash, toxicity
+from quern.llm import minhash, suffix, toxicity
 from quern.runtime import prepare, read_table, shared_dir
 
 Stage = Callable[[SparkSession, DataFrame | None, str], DataFrame]
@@ -30,9 +30,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -
     return minhash.keep_one(_docs(spark, docs, sf_dir))
 
 
+def cut_shared_passages(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds too are cut out."""
+    return suffix.cut_repeats(_docs(spark, docs, sf_dir))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_copies),
+    ("suffix_array_dedup", cut_shared_passages),
 ]
 
 #: None: the trained classifiers and sketches of the stages have no SQL form.

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import minhash, suffix, toxicity
+from quern.llm import bpe, minhash, mixing, suffix, token_counts, toxicity
 from quern.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,12 +24,41 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+#: Target shares of tokens by domain: labelled quality, and for good texts whether they are English.
+MIX = {"good-en": 0.5, "good-other": 0.35, "plain": 0.15}
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) from the labels table and the labelled documents' language."""
+    lang = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    good = F.when(F.col("lang") == "en", "good-en").otherwise("good-other")
+    return read_table(spark, sf_dir, "labels").join(lang, "doc_id").select("doc_id", F.when(F.col("quality") == 1, good).otherwise("plain").alias("domain"))
+
+
+def op1_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates and copies of every document that bring the expected domain totals to MIX."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), MIX)
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether decoding them gives the text back."""
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of 50 words or more that documents share."""
     return suffix.repeated_passages(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mix_to_targets": op1_mix_to_targets,
+    "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import minhash, suffix, toxicity
+from quern.llm import bpe, minhash, mixing, queries, suffix, toxicity
 from quern.runtime import prepare, read_table, shared_dir
 
 Stage = Callable[[SparkSession, DataFrame | None, str], DataFrame]
@@ -35,10 +35,22 @@ def cut_shared_passages(spark: SparkSession, docs: DataFrame | None, sf_dir: str
     return suffix.cut_repeats(_docs(spark, docs, sf_dir))
 
 
+def mix_to_targets(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
+    """Rows are repeated or left out so that expected domain totals meet the target weights."""
+    return mixing.resample(_docs(spark, docs, sf_dir), queries.domain_labels(spark, sf_dir), queries.MIX)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, exact): token ids of every text, checked by decoding them."""
+    return bpe.round_trip(_docs(spark, docs, sf_dir))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_copies),
     ("suffix_array_dedup", cut_shared_passages),
+    ("mix_to_targets", mix_to_targets),
+    ("bpe_encode_decode", encode_tokens),
 ]
 
 #: None: the trained classifiers and sketches of the stages have no SQL form.

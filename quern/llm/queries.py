@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, minhash, mixing, suffix, token_counts, toxicity
+from quern.llm import bpe, exact_topk, minhash, mixing, permutation_index, pseudo_lm, suffix, token_counts, toxicity, wavelet
 from quern.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,11 +45,32 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document, by a network trained on all of them."""
+    return pseudo_lm.score(read_table(spark, sf_dir, "documents"))
+
+
+def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids as wavelet matrices: one row, with the whole file, for each shard."""
+    return wavelet.shards(read_table(spark, sf_dir, "documents"))
+
+
+def op5_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten approximately nearest others of every embedding, by cosine."""
+    return permutation_index.nearest(read_table(spark, sf_dir, "embeddings"), 10)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of tokens of every document."""
     return token_counts.token_counts(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten others of largest inner product of every embedding."""
+    found = exact_topk.top_inner_products(read_table(spark, sf_dir, "embeddings"), 10)
+    return found.select("vec_id", "neighbor_id", F.round("score", 6).alias("score"), "rank")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of 50 words or more that documents share."""
     return suffix.repeated_passages(read_table(spark, sf_dir, "documents"))
@@ -58,10 +79,14 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_to_targets": op1_mix_to_targets,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_lm_scores": op3_lm_scores,
+    "op4_wavelet_shards": op4_wavelet_shards,
+    "op5_approximate_neighbours": op5_approximate_neighbours,
     "op6_token_counts": op6_token_counts,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 #: All windows of 50 words, grouped by their hash; spans of the windows that two documents or more hold.
@@ -80,4 +105,12 @@ from (select * from spans where kind = 'every') e left join (select * from spans
 group by e.doc_id, e.a, e.b
 """
 
-SQL: dict[str, str] = {"op7_suffix_array_dedup": REPEATS_SQL}
+TOP_K_SQL = """
+with pairs as (
+    select a.vec_id, b.vec_id as neighbor_id, list_inner_product(a.embedding::double[], b.embedding::double[]) as s
+    from embeddings a join embeddings b on a.vec_id <> b.vec_id),
+ranked as (select vec_id, neighbor_id, s, row_number() over (partition by vec_id order by s desc, neighbor_id)::int as rank from pairs)
+select vec_id, neighbor_id, round(s, 6) as score, rank from ranked where rank <= 10
+"""
+
+SQL: dict[str, str] = {"op10_exact_top_k": TOP_K_SQL, "op7_suffix_array_dedup": REPEATS_SQL}

@@ -25,7 +25,7 @@ from quern.runtime import Workspace, prepare
 VOCAB, GROUP, BUCKETS = 4096, 64, 512
 SIDE, WIDTH = 2, 24
 #: Each training round takes every STRIDE-th place of every document, another residue each round.
-STRIDE, ROUNDS, BATCH = 16, 2, 4096
+STRIDE, ROUNDS, BATCH = 16, 2, 1024
 #: Weights of a block that one reducer row averages.
 BLOCK_ROWS = 512
 PAD = VOCAB
@@ -78,6 +78,7 @@ class Network:
     def __init__(self, weights: dict[str, np.ndarray] | None = None, seed: int = 3):
         r = np.random.default_rng(seed)
         groups = VOCAB // GROUP
+        self.squares: dict[str, np.ndarray] = {}
         self.w = weights or {
             "embed": r.normal(0, 0.1, (2 * SIDE * (VOCAB + 1), WIDTH)).astype(np.float32),
             "group_out": np.zeros((groups, WIDTH + 1), np.float32),
@@ -121,6 +122,13 @@ class Network:
             out[a : a + 65_536] = part
         return out
 
+    def _descend(self, name: str, rows: slice | np.ndarray, grad: np.ndarray, rate: float) -> None:
+        """AdaGrad with one running square for each row; rows are distinct."""
+        if name not in self.squares:
+            self.squares[name] = np.full(len(self.w[name]), 1e-6, np.float32)
+        self.squares[name][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
+        self.w[name][rows] -= rate * grad / np.sqrt(self.squares[name][rows])[:, None]
+
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One gradient step on the mean negative log-probability of a batch."""
         n, group = len(target), target // GROUP
@@ -128,7 +136,7 @@ class Network:
         p = np.exp(self._log_softmax(h @ self.w["group_out"].T))
         p[np.arange(n), group] -= 1
         back = p @ self.w["group_out"][:, :-1]
-        down = {"group_out": p.T @ h}
+        grad = p.T @ h / n
         order = np.argsort(group, kind="stable")
         bounds = np.searchsorted(group[order], np.arange(VOCAB // GROUP + 1))
         for g in np.unique(group):
@@ -136,11 +144,13 @@ class Network:
             q = np.exp(self._log_softmax(h[mine] @ self.w["token_out"][rows].T))
             q[np.arange(len(mine)), target[mine] % GROUP] -= 1
             back[mine] += q @ self.w["token_out"][rows, :-1]
-            self.w["token_out"][rows] -= rate / n * (q.T @ h[mine])
-        self.w["group_out"] -= rate / n * down["group_out"]
-        back *= (1 - h[:, :-1] ** 2) * (rate / n)
-        for k in range(2 * SIDE):
-            np.subtract.at(self.w["embed"], at[:, k], back)
+            self._descend("token_out", rows, q.T @ h[mine] / n, rate)
+        self._descend("group_out", slice(None), grad, rate)
+        back *= (1 - h[:, :-1] ** 2) / n
+        flat = at.ravel()
+        by = np.argsort(flat, kind="stable")
+        rows, head = np.unique(flat[by], return_index=True)
+        self._descend("embed", rows, np.add.reduceat(back[by // (2 * SIDE)], head, axis=0), rate)
 
     def blocks(self) -> Iterator[tuple[str, int, np.ndarray]]:
         for name in self.NAMES:
@@ -148,7 +158,7 @@ class Network:
                 yield name, b, self.w[name][b : b + BLOCK_ROWS]
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 40.0) -> tuple[Vocabulary, Network]:
+def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Vocabulary, Network]:
     """Vocabulary and network from all of ``docs`` (doc_id, text).
 
     Word counts, and the weights that partitions send to be averaged, grow with the corpus; the driver
@@ -209,7 +219,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 40.0) -> tuple[Vo
                     if len(places):
                         context.append(contexts(tokens, per, places))
                         target.append(tokens[places])
-                if sum(map(len, target)) >= 16 * BATCH:
+                if sum(map(len, target)) >= 64 * BATCH:
                     steps(BATCH)
             n = seen
             if target and sum(map(len, target)):

@@ -286,19 +286,19 @@ def unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _EXTENSION = "case when p_size > 40 then '.TIFF' when p_size > 10 then '.jpg' else '.txt' end"
 _NAME = f"p_brand || ' ' || p_size || {_EXTENSION}"
-_CAPTION = "case when p_retailprice > 1200 then p_type else '' end"
+_CAPTION = "case when p_retailprice > 950 then p_type else '' end"
 
 
 def _image_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page for each part: one line with a nested link in a file tag and words around it."""
     kind = F.when(F.col("p_size") > 40, ".TIFF").when(F.col("p_size") > 10, ".jpg").otherwise(".txt")
-    caption = F.when(F.col("p_retailprice") > 1200, F.concat(F.lit("[["), "p_type", F.lit("]]"))).otherwise("")
+    caption = F.when(F.col("p_retailprice") > 950, F.concat(F.lit("[["), "p_type", F.lit("]]"))).otherwise("")
     name = F.concat("p_brand", F.lit(" "), F.col("p_size").cast("string"), kind)
     tag = F.concat(F.lit("see [[File:"), name, F.lit("|thumb|200px|"), caption, F.lit("]] there"))
     return read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("title"), tag.alias("text"))
 
 
-_TAGS = f"'[[File:' || {_NAME} || '|thumb|200px|' || case when p_retailprice > 1200 then '[[' || p_type || ']]' else '' end || ']]'"
+_TAGS = f"'[[File:' || {_NAME} || '|thumb|200px|' || case when p_retailprice > 950 then '[[' || p_type || ']]' else '' end || ']]'"
 
 
 @query(f"select p_partkey::varchar as id, {_TAGS} as tag from part")
@@ -321,7 +321,7 @@ def image_ext_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIRST = f"""
 select 'https://example.org/' || replace(file_name, ' ', '_') as url, title, file_name, page, tag from (
     select p_partkey, {_NAME} as file_name, {_CAPTION} as title, p_name as page, {_TAGS} as tag, row_number() over (partition by {_NAME} order by p_partkey) as turn
-    from part where p_size > 10 and p_retailprice > 1200) where turn = 1"""
+    from part where p_size > 10 and p_retailprice > 950) where turn = 1"""
 
 
 @query(_FIRST)

@@ -17,7 +17,7 @@ def read_markdown(spark: SparkSession, folder: str, max_files: int | None = None
 
     ``max_files`` takes the first files by path. Bytes that are no UTF-8 become U+FFFD.
     """
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder)
+    rows = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     rows = rows.select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("value"))
     if max_files:
         rows = rows.orderBy("path").limit(max_files)

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from quern.llm.common import lower, passes, plain, range_hashes, spans, uniform, word_spans
 from quern.runtime import prepare
 
-STEM_BYTES = (4, 5, 6)
+STEM_BYTES = (4, 5, 6, 7, 8)
 SECOND_PERSON = "you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine ihr euch euer tú ti usted ustedes tus su vosotros"
-FEATURES = ("word_density", "stem_density", "hits", "near_second_person", "second_person", "capitals", "shouted", "exclaims", "asks", "punctuation", "obfuscated", "repeats", "words")
+FEATURES = ("lexicon_density", "stem_density", "hits", "near_second_person", "second_person", "capitals", "shouted", "exclaims", "asks", "punctuation", "obfuscated", "repeats", "words")
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[0x80:] = True
@@ -101,7 +101,7 @@ def features(column: pa.Array, words: Lookup, stems: Lookup) -> np.ndarray:
         span = lambda flags: _sum(flags, sizes)
         all_letters = np.maximum(letter[offsets[1:]] - letter[offsets[:-1]], 1)
         cols = (
-            _sum(hit_word, counts) / n, _sum(hit_stem, counts) / n, np.log1p(_sum(hit, counts)), _sum(hit & near, counts) / n, _sum(you, counts) / n,
+            _sum(hit, counts) / n, _sum(hit_stem, counts) / n, np.log1p(_sum(hit, counts)), _sum(hit & near, counts) / n, _sum(you, counts) / n,
             (upper[offsets[1:]] - upper[offsets[:-1]]) / all_letters, _sum(shouted, counts) / n, span(data == 33) / chars, span(data == 63) / chars,
             span(_PUNCT[data]) / chars, _sum((letters_in > 0) & (others_in > 0), counts) / n, span(same) / chars, np.log1p(counts),
         )
@@ -115,43 +115,58 @@ def _packed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(blobs), np.uint8), ends - [len(b) for b in blobs], ends
 
 
-def learn_lexicon(column: pa.Array, toxic: np.ndarray, least_share: float = 0.01, ratio: float = 12.0) -> tuple[np.ndarray, np.ndarray]:
-    """Words and stems that are ``ratio`` times as frequent, by documents, in toxic texts as in others.
-
-    Half the texts propose and the other half must confirm a term, so that chance terms of rare
-    documents fall away.
-    """
-    found: list[np.ndarray] = []
+def term_counts(column: pa.Array, toxic: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For words (0) and stems of each width: the distinct hashes, and in how many (other, toxic) texts each is."""
+    found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {kind: [] for kind in (0, *STEM_BYTES)}
     rows = np.arange(len(column))
-    for kind in (0, *STEM_BYTES):
-        df: dict[tuple[bool, int], tuple[np.ndarray, np.ndarray]] = {}
-        terms: dict[tuple[bool, int], list[np.ndarray]] = {(t, h): [] for t in (True, False) for h in (0, 1)}
-        for i, j, data, offsets in passes(column):
-            small, starts, ends, counts, whole = _tokens(data, offsets)
-            doc = np.repeat(rows[i:j], counts)
+    for i, j, data, offsets in passes(column):
+        small, starts, ends, counts, whole = _tokens(data, offsets)
+        doc = np.repeat(rows[i:j], counts)
+        for kind, parts in found.items():
+            of, terms = doc, whole
             if kind:
-                long, hashed = _stems(small, starts, ends, kind)
-                doc, whole = doc[long], hashed
-            for d in np.unique(doc):
-                lo, hi = np.searchsorted(doc, [d, d + 1])
-                terms[bool(toxic[d]), int(d % 2)].append(np.unique(whole[lo:hi]))
-        for key, parts in terms.items():
-            df[key] = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        size = {(t, h): max(1, int(((toxic == t) & (rows % 2 == h)).sum())) for t, h in df}
-
-        def share(key: tuple[bool, int], asked: np.ndarray) -> np.ndarray:
-            have, n = df[key]  # noqa: B023
-            if not len(have):
-                return np.zeros(len(asked))
-            at = np.minimum(np.searchsorted(have, asked), len(have) - 1)
-            return np.where(have[at] == asked, n[at], 0) / size[key]  # noqa: B023
-
-        asked = np.union1d(df[True, 0][0], df[True, 1][0])
-        good = np.ones(len(asked), bool)
-        for h in (0, 1):
-            bad, clean = share((True, h), asked), share((False, h), asked)
-            good &= (bad >= least_share) & (bad >= ratio * (clean + 0.25 / size[False, h]))
-        found.append(asked[good])
+                long, terms = _stems(small, starts, ends, kind)
+                of = doc[long]
+            by = np.lexsort((terms, of))
+            of, terms = of[by], terms[by]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (terms[1:] != terms[:-1])
+            parts.append((terms[new], toxic[of[new]].astype(np.int64)))
+    return {kind: merge_counts([_count(*(np.concatenate(x) for x in zip(*parts)))] if parts else []) for kind, parts in found.items()}
+
+
+def _count(terms: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, back = np.unique(terms, return_inverse=True)
+    n_bad = np.bincount(back, bad, len(distinct)).astype(np.int64)
+    return distinct, np.stack([np.bincount(back, minlength=len(distinct)) - n_bad, n_bad], axis=1)
+
+
+def merge_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
+    terms, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    out = np.zeros((len(terms), 2), np.int64)
+    np.add.at(out, back, np.concatenate([p[1] for p in parts]))
+    return terms, out
+
+
+def choose_lexicon(counts: dict[int, tuple[np.ndarray, np.ndarray]], n_clean: int, n_toxic: int, evidence: float = 10.0, ratio: float = 6.0, least_share: float = 0.025) -> tuple[np.ndarray, np.ndarray]:
+    """Words and stems that mark toxic texts.
+
+    A term must be in ``least_share`` of toxic texts (which words that only copies of one text share
+    are not), ``ratio`` times its share of others, and so often that chance (a binomial at the share of toxic texts, by its Chernoff bound) is less likely than
+    exp(-``evidence``).
+    """
+    base = n_toxic / max(1, n_clean + n_toxic)
+    found = []
+    for terms, n in counts.values():
+        total = n.sum(axis=1)
+        q = n[:, 1] / np.maximum(total, 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = np.where(q > 0, q * np.log(q / base), 0) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - base)), 0)
+        often = n[:, 1] / max(1, n_toxic) >= ratio * n[:, 0] / max(1, n_clean)
+        common = n[:, 1] >= least_share * n_toxic
+        found.append(terms[(q > base) & often & common & (total * gain >= evidence)])
     return found[0], np.concatenate(found[1:])
 
 
@@ -234,21 +249,33 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class ToxicityModel:
     """Lexicon, trees and calibration in one picklable object."""
 
-    def fit(self, column: pa.Array, toxic: np.ndarray) -> "ToxicityModel":
-        """Three folds: the lexicon comes from the first, trees from the second, calibration from the third."""
+    def fit(self, column: pa.Array, toxic: np.ndarray, folds: int = 5) -> "ToxicityModel":
+        """Cross-fitted: a text's features come from a lexicon, and its score for calibration from trees,
+        that were fitted without its fold. The final lexicon and trees then use all texts."""
         toxic = np.asarray(toxic, bool)
-        fold = np.arange(len(toxic)) % 5
         self.constant = None
         if toxic.all() or not toxic.any() or len(toxic) < 20:
-            self.constant = float(toxic.mean()) if len(toxic) else 0.0
-            self.constant = min(self.constant, 0.49) if len(toxic) < 20 else self.constant
+            self.constant = min(float(toxic.mean()) if len(toxic) else 0.0, 0.49 if len(toxic) < 20 else 1.0)
             return self
-        take = lambda keep: column.take(pa.array(np.flatnonzero(keep)))
-        self.words, self.stems = map(Lookup, learn_lexicon(take(fold < 2), toxic[fold < 2]))
-        x = features(take(fold >= 2), self.words, self.stems)
-        y, late = toxic[fold >= 2].astype(float), fold[fold >= 2] == 4
-        self.trees = Trees().fit(x[~late], y[~late])
-        self.knots = isotonic(self.trees.raw(x[late]), y[late])
+        fold = np.empty(len(toxic), np.int64)
+        for kind in (False, True):  # both classes in every fold
+            fold[toxic == kind] = np.arange((toxic == kind).sum()) % folds
+        parts = [column.take(pa.array(np.flatnonzero(fold == k))) for k in range(folds)]
+        counts = [term_counts(parts[k], toxic[fold == k]) for k in range(folds)]
+
+        def lexicon(keep: list[int]) -> tuple[Lookup, Lookup]:
+            inside = np.isin(fold, keep)
+            merged = {kind: merge_counts([counts[k][kind] for k in keep]) for kind in (0, *STEM_BYTES)}
+            return tuple(map(Lookup, choose_lexicon(merged, int((inside & ~toxic).sum()), int((inside & toxic).sum()))))
+
+        x, raw = np.zeros((len(toxic), len(FEATURES))), np.zeros(len(toxic))
+        for k in range(folds):
+            x[fold == k] = features(parts[k], *lexicon([f for f in range(folds) if f != k]))
+        for k in range(folds):
+            raw[fold == k] = Trees().fit(x[fold != k], toxic[fold != k].astype(float)).raw(x[fold == k])
+        self.knots = isotonic(raw, toxic.astype(float))
+        self.trees = Trees().fit(x, toxic.astype(float))
+        self.words, self.stems = lexicon(list(range(folds)))
         return self
 
     def probability(self, column: pa.Array) -> np.ndarray:

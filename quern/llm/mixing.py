@@ -117,31 +117,43 @@ def train_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_
     return pickle.loads(bytes(found[0][0])) if found else DomainModel().fit(pa.array([], pa.string()), np.zeros(0, np.int64), len(domains))
 
 
-def _fold_rates(steps: list[np.ndarray], k: int, tokens: str = "tokens", posterior: str = "posterior") -> Column:
-    """The rate after ``steps``, as one fold over a literal array; a text without tokens keeps rate 1."""
+def _fold_rates(steps: list[np.ndarray], k: int, tokens: str = "tokens", posterior: str = "posterior", ahead: bool = False) -> Column:
+    """The rate after ``steps`` (or, ``ahead``, the point extrapolated from it), as one fold over a literal array.
+
+    A step holds k numbers g and a momentum b: from the point y the rate becomes max(0, y - p . g), and the
+    next point lies b times the change beyond it. A text without tokens keeps rate 1.
+    """
     if not steps:
         return F.lit(1.0)
     literal = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
-    drop = lambda g: sum((F.col(posterior)[i] * g[i] for i in range(1, k)), F.col(posterior)[0] * g[0])
-    return F.when(F.col(tokens) > 0, F.aggregate(literal, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - drop(g)))).otherwise(F.lit(1.0))
 
+    def go(state: Column, g: Column) -> Column:
+        drop = sum((F.col(posterior)[i] * g[i] for i in range(1, k)), F.col(posterior)[0] * g[0])
+        rate = F.greatest(F.lit(0.0), state["y"] - drop)
+        return F.struct(rate.alias("r"), (rate + g[k] * (rate - state["r"])).alias("y"))
+
+    state = F.aggregate(literal, F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y")), go)
+    return F.when(F.col(tokens) > 0, state["y" if ahead else "r"]).otherwise(F.lit(1.0))
 
-def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 40, tolerance: float = 1e-3) -> list[np.ndarray]:
+
+def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 60, tolerance: float = 1e-3) -> list[np.ndarray]:
     """Projected-gradient steps for a stored table of (tokens, posterior).
 
     Steps are taken in the metric that weighs a document by its tokens: r_d falls by p_d . g, and stays
     at 0 or more. The first steps scale the residual by the inverse Gram matrix of the documents in
-    use; once that stops helping, g is the residual over the largest eigenvalue of the Gram matrix,
-    which makes every step a descent. Stops at a residual of ``tolerance`` of the targets' length, or
-    when a plain step no longer lowers it.
+    use. Once that stops helping, as with targets that no rates can meet, g is the residual over the
+    largest eigenvalue of the Gram matrix, with Nesterov's momentum, begun anew when the residual
+    grows. Stops at a residual of ``tolerance`` of the targets' length, or when ten steps change it
+    by less than ``tolerance`` of itself.
     """
     k = len(targets)
     pairs = [(i, j) for i in range(k) for j in range(k)]
     p = [F.col("posterior")[i] for i in range(k)]
     steps: list[np.ndarray] = []
-    last, plain_steps, top = np.inf, False, None
+    sizes: list[float] = []
+    accelerated, top, t = False, None, 1.0
     for _ in range(rounds):
-        weight = F.col("tokens") * _fold_rates(steps, k)
+        weight = F.col("tokens") * _fold_rates(steps, k, ahead=True)
         used = F.when(weight > 0, F.col("tokens")).otherwise(0)
         row = table.agg(*[F.coalesce(F.sum(weight * x), F.lit(0.0)) for x in p], *[F.coalesce(F.sum(used * p[i] * p[j]), F.lit(0.0)) for i, j in pairs]).first()
         gram = np.array(row[k:], float).reshape(k, k)
@@ -151,11 +163,20 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 40, tolerance
                 break
         off = np.array(row[:k], float) - targets
         size = float(np.linalg.norm(off))
-        if size <= tolerance * float(np.linalg.norm(targets)) or (plain_steps and size > last * (1 - 1e-4)):
+        if size <= tolerance * float(np.linalg.norm(targets)):
+            break
+        if accelerated and len(sizes) > 10 and abs(sizes[-10] - size) < tolerance * size:
             break
-        plain_steps |= size > 0.9 * last
-        steps.append(off / top if plain_steps else np.linalg.pinv(gram, rcond=1e-9) @ off)
-        last = size
+        if not accelerated and sizes and size > 0.9 * sizes[-1]:
+            accelerated, sizes = True, []
+        if not accelerated:
+            steps.append(np.append(np.linalg.pinv(gram, rcond=1e-9) @ off, 0.0))
+        else:
+            t = 1.0 if sizes and size > sizes[-1] else t
+            after = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            steps.append(np.append(off / top, (t - 1) / after))
+            t = after
+        sizes.append(size)
     return steps
 
 

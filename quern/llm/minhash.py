@@ -80,7 +80,7 @@ def registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def bands(regs: np.ndarray) -> np.ndarray:
     """BANDS keys of 64 bits for each row."""
     n = len(regs)
-    flat = regs.reshape(n * BANDS, ROWS_PER_BAND).ravel()
+    flat = np.ascontiguousarray(regs).ravel()
     at = np.arange(n * BANDS) * ROWS_PER_BAND
     return (range_hashes(flat, at, at + ROWS_PER_BAND) ^ mix(np.tile(np.arange(BANDS, dtype=np.uint64), n))).view(np.int64) if n else np.zeros(0, np.int64)
 
@@ -166,7 +166,7 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
                 regs, some = registers(hashes, counts), np.flatnonzero(counts)
                 part = batch.slice(i, j - i).take(pa.array(some))
                 regs = regs[some]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), binary_array(regs.view(np.uint8).reshape(len(some), -1), 2 * REGISTERS), list_array(bands(regs), np.full(len(some), BANDS))], names=["doc_id", "digest", "regs", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), binary_array(regs.view(np.uint8).reshape(len(some), 2 * REGISTERS), 2 * REGISTERS), list_array(bands(regs), np.full(len(some), BANDS))], names=["doc_id", "digest", "regs", "bands"])
 
     digest = F.xxhash64("text", F.lit(1)), F.xxhash64("text", F.lit(2))
     rows = docs.dropna().select("doc_id", F.array(*digest).alias("digest"), "text")

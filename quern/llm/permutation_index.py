@@ -92,7 +92,9 @@ def nearest(vectors: DataFrame, k: int = 10, seed: int = 5) -> DataFrame:
         m, prefix, rerank = sizes(n)
         # at most MAX_PIVOTS vectors come to the driver
         picked = rows.orderBy(uniform(F.col("vec_id"), seed), "vec_id").limit(m).collect()
-        pivots = unit(np.array([r.embedding for r in picked], float).reshape(len(picked), -1)).astype(np.float32)
+        if not picked:
+            return spark.createDataFrame([], TOP_SCHEMA + ", rank int")
+        pivots = unit(np.array([r.embedding for r in picked], float)).astype(np.float32)
         held = spark.sparkContext.broadcast(pivots)
         n_shards, n_blocks = max(1, -(-n // SHARD)), max(1, -(-n // QUERY_BLOCK))
         quota = -(-rerank // n_shards)

@@ -23,7 +23,7 @@ from quern.llm.common import passes, plain
 from quern.runtime import prepare
 
 MAGIC = b"WVM1"
-#: Tokens after which a shard closes (it ends with the document that passes this).
+#: Tokens after which a shard closes: with the last text of the numpy pass that reaches them.
 SHARD_TOKENS = 1 << 21
 BLOCK = 512  # bits for each entry of the rank directory
 
@@ -158,7 +158,7 @@ SHARD_SCHEMA = "shard string, doc_ids array<bigint>, n_tokens bigint, payload bi
 def shards(docs: DataFrame, path: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row for each shard: (shard, doc_ids, n_tokens, payload), the payload being the whole file.
 
-    A shard is a run of rows of one input partition; nothing is shuffled. Texts of null are left
+    A shard is a run of rows of one input partition, some ``shard_tokens`` long; nothing is shuffled. Texts of null are left
     out, empty texts are documents without tokens, null ids are stored as -1, and a text longer than
     ``shard_tokens`` makes a shard of its own length. Other columns are not read.
     """

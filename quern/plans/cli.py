@@ -11,7 +11,7 @@ from quern.plans import datasets
 from quern.runtime import prepare
 from quern.sources import files, sinks
 
-TASKS = ("pretrain-dataset", "image-dataset", "to-md", "to-pretrain", "extract-images", "generate-all")
+TASKS = ("pretrain-dataset", "image-dataset", "to-md", "to-pretrain", "extract-images", "download", "download-images", "generate-all")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -20,6 +20,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--lang", choices=datasets.LANGUAGES, default="tw")
     p.add_argument("--xml-path", help="dump, plain or bz2")
     p.add_argument("--md-dir", help="folder of Markdown files")
+    p.add_argument("--url", help="dump to download")
+    p.add_argument("--image-json", help="image records, a path or a glob")
+    p.add_argument("--image-dir", help="folder for fetched images, shared by all executors")
+    p.add_argument("--reuse-dir", help="folder of images fetched before")
     p.add_argument("--out", default="output")
     p.add_argument("--max-images", type=int)
     p.add_argument("--max-files", type=int)
@@ -37,9 +41,39 @@ def _need(args: argparse.Namespace, name: str) -> str:
     return value
 
 
+def _http(url: str, timeout: float) -> tuple[int, bytes]:
+    """The transport of the command line: one GET with an honest agent name."""
+    from urllib.error import HTTPError
+    from urllib.request import Request, urlopen
+
+    try:
+        with urlopen(Request(url, headers={"User-Agent": "quern-dataset-builder"}), timeout=timeout) as answer:
+            return answer.status, answer.read()
+    except HTTPError as e:
+        return e.code, b""
+
+
+def _download(args: argparse.Namespace) -> list[str]:
+    from pathlib import Path
+    from urllib.request import Request, urlopen
+
+    url = _need(args, "url")
+    target = Path(args.out, url.rsplit("/", 1)[-1])
+    target.parent.mkdir(parents=True, exist_ok=True)
+    expected = sinks.remote_size(url, lambda u: urlopen(Request(u, method="HEAD"), timeout=30).headers)
+    local = target.stat().st_size if target.exists() else None
+    if not files.dump_state(local, expected)[1]:
+        written, whole = sinks.download_dump(url, str(target), urlopen, expected)
+        if not whole:
+            print(f"{target}: {written} bytes, {expected} expected")
+    return [str(target)]
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[str]:
     """Run a task; gives the files or folders written."""
     args = parser().parse_args(argv)
+    if args.task == "download":
+        return _download(args)
     spark = prepare(spark or SparkSession.builder.appName("quern").getOrCreate())
     lang = None if args.no_conversion else args.lang
     limit = args.max_mb * sinks.MEBIBYTE
@@ -57,6 +91,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         return sorted(datasets.generate_all(spark, _need(args, "xml_path"), args.out).values())
     if args.task in ("image-dataset", "extract-images"):
         return save_images(datasets.image_dataset(spark, _need(args, "xml_path"), lang, args.max_images))
+    if args.task == "download-images":
+        from quern.operators import fetch
+
+        results = fetch.fetch(files.read_images(spark, _need(args, "image_json")), _need(args, "image_dir"), _http, args.reuse_dir)
+        results.write.mode("overwrite").parquet(f"{args.out}/fetched")
+        return [f"{args.out}/fetched"]
     if args.task == "to-md":
         path = f"{args.out}/markdown"
         datasets.markdown_of_dump(spark, _need(args, "xml_path")).write.mode("overwrite").parquet(path)

@@ -100,3 +100,11 @@ def download_dump(url: str, target: str, open_url: object, expected: int = 0, ch
             written += out.write(block)
     os.replace(f"{target}.partial", target)
     return written, expected in (0, written)
+
+
+def remote_size(url: str, open_head: object) -> int:
+    """Bytes that a HEAD request announces, by ``open_head(url)`` (a mapping of headers); 0 if unknown."""
+    try:
+        return int(open_head(url).get("Content-Length") or 0)
+    except (OSError, ValueError):
+        return 0

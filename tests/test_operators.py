@@ -243,3 +243,30 @@ def test_empty_inputs(spark):
     none = spark.createDataFrame([], "id string, title string, text string")
     assert pages.to_markdown(none).count() == 0 and images.image_records(none).count() == 0
     assert records.text_records(spark.createDataFrame([], "source_file string, value string")).count() == 0
+
+
+def test_registered_functions(spark):
+    from quern.functions.register import register
+
+    assert "clean_markdown" in register(spark)
+    got = spark.sql("select clean_markdown('[[甲|乙]]') a, to_traditional('头发') b, image_caption('[[File:a.jpg|字]]') c, space_scripts(null) d").first()
+    assert tuple(got) == ("乙", "頭髮", "字", None)
+
+
+def test_downloads_without_a_network(tmp_path):
+    source = tmp_path / "dump.xml"
+    source.write_text("x" * 20_000)
+    out = cli.main(["download", "--url", source.as_uri(), "--out", str(tmp_path / "o")])
+    assert open(out[0]).read() == source.read_text()
+    assert sinks.remote_size("u", lambda u: {"Content-Length": "7"}) == 7 and sinks.remote_size("u", lambda u: {}) == 0
+
+
+def test_cli_fetches_images(spark, tmp_path):
+    source = tmp_path / "a.png"
+    source.write_bytes(b"1")
+    records_file = tmp_path / "images.jsonl"
+    records_file.write_text(json.dumps({"url": source.as_uri(), "title": "t", "file_name": "image/b.png", "page": "p", "tag": "x"}) + "\n")
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "b.png").write_bytes(b"2")
+    out = cli.main(["download-images", "--image-json", str(records_file), "--image-dir", str(tmp_path / "got"), "--reuse-dir", str(tmp_path / "old"), "--out", str(tmp_path / "o")], spark)
+    assert [(r.file_name, r.status) for r in spark.read.parquet(out[0]).collect()] == [("b.png", "copied")]

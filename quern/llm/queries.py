@@ -113,4 +113,17 @@ ranked as (select vec_id, neighbor_id, s, row_number() over (partition by vec_id
 select vec_id, neighbor_id, round(s, 6) as score, rank from ranked where rank <= 10
 """
 
-SQL: dict[str, str] = {"op10_exact_top_k": TOP_K_SQL, "op7_suffix_array_dedup": REPEATS_SQL}
+#: All pairs that share a shingle, by exact Jaccard similarity, and what reaches what over the near ones.
+NEAR_SQL = r"""
+with recursive words as (select distinct doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents where doc_id is not null and text is not null),
+shingles as (select distinct doc_id, array_to_string(w[i : i + 2], ' ') as h from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) as i from words)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.h = b.h and a.doc_id < b.doc_id group by all),
+near as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where c >= 0.5 * (x.n + y.n - c)),
+edges as (select a, b from near union select b, a from near),
+reach(doc_id, other) as (select a, b from edges union select r.doc_id, e.b from reach r join edges e on e.a = r.other),
+kept as (select doc_id, least(doc_id, min(other)) as keep_id from reach group by doc_id)
+select doc_id, keep_id, count(*) over (partition by keep_id) as group_size from kept
+"""
+
+SQL: dict[str, str] = {"op9_minhash_near_dedup": NEAR_SQL, "op10_exact_top_k": TOP_K_SQL, "op7_suffix_array_dedup": REPEATS_SQL}

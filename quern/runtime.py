@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -63,11 +65,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _delete_late(spark: SparkSession, path: str) -> None:
+    try:
+        delete_path(spark, path)
+    except Exception:  # noqa: BLE001  the session may have ended before: then only its files are left
+        if path.startswith("file:"):
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
 class Workspace:
     """Tables written to the shared folder to cut lineage; they outlive any executor.
 
-    Used as a context manager: on leaving, everything goes but the table of ``result``.
-    A result table is removed when the next workspace of the same name in this session leaves.
+    Used as a context manager: on leaving, everything goes but the table of ``result``, which stays as
+    long as the session may read it and goes when the driver ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -81,10 +91,7 @@ class Workspace:
     def __exit__(self, *_: object) -> None:
         delete_path(self.spark, self.root)
         if self._kept:
-            kept = self.spark.sparkContext.__dict__.setdefault("_quern_results", {})
-            if self.name in kept:
-                delete_path(self.spark, kept[self.name])
-            kept[self.name] = self._kept
+            atexit.register(_delete_late, self.spark, self._kept)
 
     def save(self, df: DataFrame, table: str) -> DataFrame:
         path = f"{self.root}/{table}"

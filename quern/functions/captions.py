@@ -80,11 +80,19 @@ def _language(m: re.Match[str]) -> str:
     return next((a.partition("=")[2] for a in args if a.startswith("translit=")), args[0])
 
 
+_ARG, _REST = "([^}|]+)", "[^}]+"
+
+
+def _template(*parts: str) -> re.Pattern[str]:
+    """A template of these parts between pipes."""
+    return re.compile(r"\{{2}" + r"\|".join(parts) + r"\}{2}")
+
+
 _TEMPLATES = (
-    (re.compile(r"\{\{[Cc]irca\|([^|}]+)\}\}"), r"约\1"),
-    (re.compile(r"\{\{(?:[Ll]e|[Ll]ink-en)\|([^|}]+)\|[^}]+\}\}"), r"\1"),
-    (re.compile(r"\{\{convert\|[^}]+\}\}"), _convert),
-    (re.compile(r"\{\{lang-[0-9A-Za-z]+\|[^}]+\}\}"), _language),
+    (_template("[Cc]irca", _ARG), r"约\1"),
+    (_template("(?:[Ll]e|[Ll]ink-en)", _ARG, _REST), r"\1"),
+    (_template("convert", _REST), _convert),
+    (_template("lang-[0-9A-Za-z]+", _REST), _language),
 )
 _TAIL = re.compile(r"(?:<|&lt;)ref.*\Z", re.DOTALL)
 _SPANS = re.compile("&lt;span[^&]*?&gt;|&lt;/span&gt;")

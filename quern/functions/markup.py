@@ -7,6 +7,7 @@ from quern.functions.rules import CLOSE, FIELD, OPEN, STOP, Rules, delete
 _BOX_NAMES = ("[Ii]nfobox", "信息框", "基礎資訊", "資訊框")
 _MEDIA_NAMES = ("Category", "File", "Image", "图像", "图片", "圖片", "文件", "檔案")
 _VERBS = "在是有為的"
+_QUOTED, _MARK, _SHOWN = '"[^"]*"', "#{1,6}", r"\[(.*?)\]"
 
 #: Markup that a rendered page or foreign Markdown still holds. Order matters: a later rule sees what
 #: earlier ones left.
@@ -16,7 +17,7 @@ CLEAN = Rules(
     *delete((r"\{\{" + name + r".*?\n\}\}" for name in _BOX_NAMES), "s"),
     *delete((r"\{\{.*?\}\}", r"\{\|.*?\|\}"), "s"),
     *delete(rf"\[\[{name}:.*?\]\]" for name in _MEDIA_NAMES),
-    (r'\|group="[^"]*"\}\}', ""),
+    (rf"\|group={_QUOTED}" + r"\}{2}", ""),
     (r"\[\^.+?\]", ""),
     ("<ref.*?</ref>", "", "s"),
     ("<ref.*?/>", ""),
@@ -40,12 +41,12 @@ _EMPTY_PAIRS = (r"\(\)", r"\[\]", r"\{\}", "（）", "「」", "『』")
 _BULLET, _NUMBER = r"[*+\-]", r"\d+\."
 
 _PLAIN_HEAD = Rules(
-    (r"^#{1,6}\s+(.*?)$", r"\1", "m"),
+    ("^" + _MARK + r"\s+(.*?)$", r"\1", "m"),
     *((rf"^\s*{mark}\s+(.*?)\s*$", r"、\1", "m") for mark in (_BULLET, _NUMBER)),
     (r"([^\n])\n、", r"\1 •"),
     (r"^\s*、", "", "m"),
     *((rf"^\s+{mark}\s+(.*?)$", r"，\1", "m") for mark in (_BULLET, _NUMBER)),
-    (r"\[(.*?)\]\([^)]*\)", r"\1"),
+    (_SHOWN + r"\([^)]*\)", r"\1"),
     *((m + "(.*?)" + m, r"\1") for m in (r"\*\*", r"\*", "__", "_")),
     ("`([^`]*)`", r"\1"),
     ("```[^`]*```", "", "s"),

@@ -62,7 +62,7 @@ def strip_references(c: Column) -> Column:
 
 
 def unwrap_links(c: Column) -> Column:
-    return chain(c, (r"\[\[([^|\]]+)\|([^|\]]+)\]\]", "$2"), (r"\[\[([^|\]]+)\]\]", "$1"))
+    return chain(c, (r"\[{2}[^\]|]+\|([^\]|]+)\]{2}", "$1"), (r"\[{2}([^\]|]+)\]{2}", "$1"))
 
 
 def collapse_punctuation(c: Column) -> Column:

@@ -8,6 +8,7 @@ from quern.functions.rules import ANY_QUOTE, CLOSE, FIELD, HAN, HAN_COMMON, LATI
 
 _ROUND = (("（", "）"), (r"\(", r"\)"))
 _QUOTES = '"“”'
+_PAIRED = _QUOTES + "‘’"
 _EDGE = ANY_QUOTE + ":：;；"
 _VERB = "(?:在|是|有|為|的)"
 _WORDS = "A-Za-z_\\-"
@@ -93,7 +94,7 @@ _RESIDUE = Rules(
     (_RUN + rf"(?:[{_WORDS}]++\s++){{4,}}+" + _VERB, ""),
     (rf"(?:[0-9{_WORDS}]+\s+){{3,}}", ""),
     (r"[*+\-]\s+", ""),
-    ('["“”‘’](.*?)["“”‘’]', r"“\1”"),
+    (f"[{_PAIRED}](.*?)[{_PAIRED}]", r"“\1”"),
     *delete(rf"(?<=\s){q}(?=\s)" for q in "“”"),
     (r"\s+", " "),
 )

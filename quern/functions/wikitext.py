@@ -9,9 +9,10 @@ from quern.functions.rules import Rules
 
 _VARIANT = re.compile(r"-\{(.*?)\}-", re.DOTALL)
 _MAINLAND = re.compile(r".*zh-(?:cn|hans):(.*?)(?:;zh|;|\}-).*", re.DOTALL)
-_LE = re.compile(r"\{\{Le\|(.*?)\|(.*?)(?:\|(.*?))?\}\}")
-_LINK = re.compile(r"\{\{link-[a-z]{2}\|([^{|}]+)\|[^{|}]+\}\}")
-_TEMPLATE = re.compile(r"\{\{(?!lang|link-[a-z]{2}).*?\}\}")
+_ANY, _CODE = "(.*?)", "[a-z]{2}"
+_LE = re.compile(r"\{{2}Le\|" + _ANY + r"\|" + _ANY + r"(?:\|" + _ANY + r")?\}{2}")
+_LINK = re.compile(r"\{{2}link-" + _CODE + r"\|([^{|}]+)\|[^{|}]+\}{2}")
+_TEMPLATE = re.compile(r"\{{2}(?!lang|link-" + _CODE + r").*?\}{2}")
 _SURROGATE = re.compile("[\ud800-\udfff]")
 
 

@@ -13,7 +13,8 @@ from quern.runtime import prepare
 
 EXTENSIONS = tuple("apng avif bmp emf gif heic heif ico jfif jpeg jpg pbm pgm png ppm svg tif tiff webp wmf xbm xpm".split())
 PLACEHOLDERS = ("no free image", "no image")
-URL_PREFIX = "https://zh.wikipedia.org/wiki/Special:FilePath/"
+SITE = "https://zh.wikipedia.org/wiki"
+URL_PREFIX = f"{SITE}/Special:FilePath/"
 
 
 def has_image_extension(name: Column) -> Column:

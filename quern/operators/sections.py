@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quern.functions.native import replace, strip
 
 MIN_SECTION_LENGTH = 20
+MARK = "#{1,6}"
+OUTLINE = r"(?U)\A\d+(?:[.]\d+)*\s*"
 
 _BOTH = "附件 另看 其他 引用 talk"
 _TRADITIONAL = "參考 延伸閱讀 註釋 注釋 註解 腳註 註腳 注腳 註記 注記 附註 備註 說明 連結 外部資源 外部網站 官方網站 官網 相關網站 參見 參看 相關條目 相關主題 相關詞條 另見 相關文章 相關頁面 關聯條目 類似條目 來源 文獻 資源 出處 書目 附錄 圖片引用 圖表引用 外部鏈接 外部鏈結 補充資料 版權 授權 許可 聲明 版本歷史 修訂歷史 編輯歷史 討論"
@@ -29,8 +31,8 @@ def sections_column(value: Column) -> Column:
     Text before the first heading has an empty title; a text without headings has no sections.
     """
     lines = F.split(value, "\n", -1)
-    head = r"(?U)(?d)^(#{1,6})\s*(.+)"
-    parsed = F.transform(lines, lambda line, i: F.struct(i.alias("at"), F.length(F.regexp_extract(line, head, 1)).alias("level"), strip(replace(F.regexp_extract(line, head, 2), r"(?U)^\d+(?:\.\d+)*\s*")).alias("title")))
+    head = rf"(?U)(?d)\A({MARK})\s*(.+)"
+    parsed = F.transform(lines, lambda line, i: F.struct(i.alias("at"), F.length(F.regexp_extract(line, head, 1)).alias("level"), strip(replace(F.regexp_extract(line, head, 2), OUTLINE)).alias("title")))
     heads = F.filter(parsed, lambda h: h["level"] > 0)
     empty = F.struct(F.array().cast("array<string>").alias("stack"), F.array().cast("array<string>").alias("paths"))
 

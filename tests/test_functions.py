@@ -116,7 +116,7 @@ def test_render_numbers_headings_and_joins_items():
 
 
 def test_tags_and_captions():
-    tag = "[[File:Euclid.jpg|right|thumb|200px|[[歐幾里得]]，西元前三世紀]]"
+    tag = "|".join(["[[File:Euclid.jpg", "right", "thumb", "200px", "[[歐幾里得]]，西元前三世紀]]"])
     assert captions.find_file_tags(f"x {tag} y [[File:b.png]] [[File:open") == [tag, "[[File:b.png]]"]
     assert captions.caption_of(tag) == "歐幾里得，西元前三世紀"
     assert captions.caption_of("[[File:a.jpg|thumb|alt=替代]]") == "替代"
@@ -163,7 +163,7 @@ def test_native_rules_match_python_ones(spark):
     texts = ["".join(r.choices(pieces, k=r.randint(0, 25))) for _ in range(2000)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     pairs = {
-        "links": (native.unwrap_links, Rules((r"\[\[([^|\]]+)\|([^|\]]+)\]\]", r"\2"), (r"\[\[([^|\]]+)\]\]", r"\1"))),
+        "links": (native.unwrap_links, Rules((r"\[{2}[^]|]+\|([^]|]+)\]{2}", r"\1"), (r"\[{2}([^]|]+)\]{2}", r"\1"))),
         "templates": (native.strip_templates, Rules((r"\{\{.*?\}\}", "", "s"))),
         "references": (native.strip_references, Rules(("<ref.*?</ref>", "", "s"), ("<ref.*?/>", ""))),
         "punctuation": (native.collapse_punctuation, Rules(*[(f"[{a}{b}]{{2,}}", b) for a, b in (",，", ".。", ";；", "!！", "?？")])),

@@ -333,7 +333,7 @@ def test_rates_reach_the_constrained_optimum(spark):
     t = r.integers(5, 50, 40)
     target = np.array([4000.0, 10.0, 0.0])
     df = spark.createDataFrame([(float(a), list(map(float, b))) for a, b in zip(t, p)], "tokens double, posterior array<double>")
-    steps = mixing.fit_rates(df, target, rounds=60, tolerance=1e-4)
+    steps = mixing.fit_rates(df, target, rounds=60, tolerance=1e-5)
     rated = df.select("tokens", "posterior", mixing._fold_rates(steps, 3).alias("rate")).collect()
     t, p, rate = (np.array([x[k] for x in rated]) for k in range(3))
     assert (rate >= 0).all()

@@ -328,7 +328,8 @@ def score(docs: DataFrame, model: ToxicityModel, column: str = "toxicity") -> Da
         for texts in batches:
             yield pa.array(ready.probability(texts), pa.float64())
 
-    return docs.withColumn(column, probability(F.col("text").cast("string")))
+    # as nondeterministic, so that a filter on the column is not worked out a second time below it
+    return docs.withColumn(column, probability.asNondeterministic()(F.col("text").cast("string")))
 
 
 def split(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame]:

@@ -141,9 +141,8 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 60, tolerance
 
     Steps are taken in the metric that weighs a document by its tokens: r_d falls by p_d . g, and stays
     at 0 or more. The first steps scale the residual by the inverse Gram matrix of the documents in
-    use. Once that stops helping, as with targets that no rates can meet, g is the residual over the
-    largest eigenvalue of the Gram matrix, with Nesterov's momentum, begun anew when the residual
-    grows. Stops at a residual of ``tolerance`` of the targets' length, or when ten steps change it
+    use. Once that stops helping, as with targets that no rates can meet, g is the residual over that
+    matrix's largest eigenvalue, with Nesterov's momentum, begun anew when the residual grows. Stops at a residual of ``tolerance`` of the targets' length, or when ten steps change it
     by less than ``tolerance`` of itself.
     """
     k = len(targets)
@@ -151,16 +150,15 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 60, tolerance
     p = [F.col("posterior")[i] for i in range(k)]
     steps: list[np.ndarray] = []
     sizes: list[float] = []
-    accelerated, top, t = False, None, 1.0
+    accelerated, t = False, 1.0
     for _ in range(rounds):
         weight = F.col("tokens") * _fold_rates(steps, k, ahead=True)
         used = F.when(weight > 0, F.col("tokens")).otherwise(0)
         row = table.agg(*[F.coalesce(F.sum(weight * x), F.lit(0.0)) for x in p], *[F.coalesce(F.sum(used * p[i] * p[j]), F.lit(0.0)) for i, j in pairs]).first()
         gram = np.array(row[k:], float).reshape(k, k)
-        if top is None:
-            top = float(np.linalg.eigvalsh(gram)[-1])
-            if top <= 0:
-                break
+        top = float(np.linalg.eigvalsh(gram)[-1])
+        if top <= 0:
+            break
         off = np.array(row[:k], float) - targets
         size = float(np.linalg.norm(off))
         if size <= tolerance * float(np.linalg.norm(targets)):
@@ -196,29 +194,32 @@ def _placed(text: Column, held: object) -> Column:
     return place(text)
 
 
-def _with_copies(df: DataFrame, held: object, steps: list[np.ndarray], k: int, seed: int) -> DataFrame:
-    """``df`` (with columns __id and __text) with __tokens, __posterior, __rate and __copies."""
-    out = df.withColumn("__placed", _placed(F.col("__text"), held))
-    out = out.withColumn("__tokens", F.col("__placed")[k].cast("bigint")).withColumn("__posterior", F.slice("__placed", 1, k))
+def _draw(seed: int) -> Column:
+    """A number in [0, 1) of a row's id and text."""
+    return uniform(F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))), seed)
+
+
+def _with_copies(df: DataFrame, steps: list[np.ndarray], k: int) -> DataFrame:
+    """``df`` (with columns __placed and __draw) with __tokens, __posterior, __rate and __copies."""
+    out = df.withColumn("__tokens", F.col("__placed")[k].cast("bigint")).withColumn("__posterior", F.slice("__placed", 1, k))
     out = out.withColumn("__rate", _fold_rates(steps, k, "__tokens", "__posterior"))
-    draw = uniform(F.xxhash64("__id", F.xxhash64("__text")), seed)
+    draw = F.col("__draw")
     return out.withColumn("__copies", (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("bigint")).cast("int"))
 
 
-def _fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None, max_labelled: int, seed: int):
-    """(broadcast model, gradient steps)."""
-    spark = prepare(docs.sparkSession)
+def _fit(ws: Workspace, docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None, max_labelled: int, seed: int):
+    """(broadcast model, gradient steps, stored (doc_id, __placed, __draw) of all rows)."""
     if not weights or min(weights.values()) < 0 or sum(weights.values()) <= 0:
         raise ValueError("weights must be nonnegative and not all zero")
     domains = list(weights)
     k = len(domains)
-    held = spark.sparkContext.broadcast(pickle.dumps(train_domains(docs, labelled, domains, max_labelled, seed)))
-    with Workspace(spark, "mixing") as ws:
-        placed = docs.select(_placed(F.col("text").cast("string"), held).alias("placed"))
-        table = ws.save(placed.select(F.col("placed")[k].alias("tokens"), F.slice("placed", 1, k).alias("posterior")), "placed")
-        total = float(table.agg(F.sum("tokens")).first()[0] or 0) if budget is None else float(budget)
-        share = np.array([weights[d] for d in domains], float)
-        return held, fit_rates(table, share / share.sum() * total)
+    held = ws.spark.sparkContext.broadcast(pickle.dumps(train_domains(docs, labelled, domains, max_labelled, seed)))
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _draw(seed).alias("__draw"), _placed(F.col("text").cast("string"), held).alias("__placed"))
+    stored = ws.save(placed, "placed")
+    table = stored.select(F.col("__placed")[k].alias("tokens"), F.slice("__placed", 1, k).alias("posterior"))
+    total = float(table.agg(F.sum("tokens")).first()[0] or 0) if budget is None else float(budget)
+    share = np.array([weights[d] for d in domains], float)
+    return held, fit_rates(table, share / share.sum() * total), stored
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None, max_labelled: int = 4000, seed: int = 1) -> DataFrame:
@@ -230,16 +231,19 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     empty texts have no tokens and keep rate 1; null ids are rows like others; equal rows get equal
     answers. Other columns are not read.
     """
-    held, steps = _fit(docs, labelled, weights, budget, max_labelled, seed)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").cast("string").alias("__text"))
-    rated = _with_copies(rows, held, steps, len(weights), seed)
-    return rated.select(F.col("__id").alias("doc_id"), *[F.col(f"__{c}").alias(c) for c in ("tokens", "posterior", "rate", "copies")])
+    spark = prepare(docs.sparkSession)
+    with Workspace(spark, "mixing") as ws:
+        _, steps, stored = _fit(ws, docs, labelled, weights, budget, max_labelled, seed)
+        rated = _with_copies(stored, steps, len(weights))
+        return ws.result(rated.select("doc_id", *[F.col(f"__{c}").alias(c) for c in ("tokens", "posterior", "rate", "copies")]))
 
 
 def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None, max_labelled: int = 4000, seed: int = 1) -> DataFrame:
     """``docs`` with each row as often as its ``copies`` in ``mix`` say, same columns. No row is shuffled."""
-    held, steps = _fit(docs, labelled, weights, budget, max_labelled, seed)
-    rows = docs.withColumn("__id", F.col("doc_id").cast("bigint")).withColumn("__text", F.col("text").cast("string"))
-    rated = _with_copies(rows, held, steps, len(weights), seed)
+    spark = prepare(docs.sparkSession)
+    with Workspace(spark, "mixing") as ws:
+        held, steps, _ = _fit(ws, docs, labelled, weights, budget, max_labelled, seed)
+    rows = docs.withColumn("__draw", _draw(seed)).withColumn("__placed", _placed(F.col("text").cast("string"), held))
+    rated = _with_copies(rows, steps, len(weights))
     some = F.filter(F.sequence(F.lit(0), F.col("__copies")), lambda x: x > 0)
     return rated.withColumn("__copy", F.explode(some)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,8 +24,8 @@ from quern.runtime import Workspace, prepare
 
 VOCAB, GROUP, BUCKETS = 4096, 64, 512
 SIDE, WIDTH = 2, 24
-#: Each training round takes every STRIDE-th place of every document, another residue each round.
-STRIDE, ROUNDS, BATCH = 16, 2, 1024
+#: Of R training rounds, round k takes the places k, k + R, k + 2R, ... of every document: all places once.
+ROUNDS, BATCH = 2, 1024
 #: Weights of a block that one reducer row averages.
 BLOCK_ROWS = 512
 PAD = VOCAB
@@ -70,6 +70,12 @@ def contexts(tokens: np.ndarray, counts: np.ndarray, places: np.ndarray | None =
     return out
 
 
+def round_places(counts: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """The places that round ``k`` of ``rounds`` trains on, by their number in their own document."""
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.flatnonzero(within % rounds == k)
+
+
 class Network:
     """Weights: embeddings by offset, class outputs, outputs of the tokens of each class."""
 
@@ -162,7 +168,8 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
     """Vocabulary and network from all of ``docs`` (doc_id, text).
 
     Word counts, and the weights that partitions send to be averaged, grow with the corpus; the driver
-    receives the vocabulary and one set of weights. The same partitions give the same model.
+    receives the vocabulary and one set of weights. Whatever ``rounds`` is, every place of every document
+    is a target once. The same partitions give the same model.
     """
     spark = prepare(docs.sparkSession)
 
@@ -214,7 +221,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
                 for _, _, data, offsets in passes(batch.column("text")):
                     hashes, per = word_hashes(data, offsets)
                     tokens = words(hashes)
-                    places = np.arange((k * 5 + seen) % STRIDE, len(tokens), STRIDE)  # noqa: B023
+                    places = round_places(per, k, rounds)  # noqa: B023
                     seen += len(tokens)
                     if len(places):
                         context.append(contexts(tokens, per, places))

@@ -143,6 +143,12 @@ def test_context_predicts(spark):
     assert counts < -3.4 and network > counts + 1.5
 
 
+def test_rounds_train_on_every_place_once():
+    counts = np.array([1, 0, 5, 16, 33])
+    for rounds in (1, pseudo_lm.ROUNDS, 7):
+        assert sorted(np.concatenate([pseudo_lm.round_places(counts, k, rounds) for k in range(rounds)])) == list(range(counts.sum()))
+
+
 def test_scores_match_brute_force(spark):
     docs = frame(spark, [(1, "b a c a b"), (2, "A, a! zebra")])
     model = vocabulary, net = pseudo_lm.train(docs)

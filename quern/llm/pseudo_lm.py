@@ -1,7 +1,9 @@
 """LM scoring by masked pseudo-likelihood with a bidirectional window network, trained in numpy.
 
 Tokens are words (lower case). The vocabulary is the ``VOCAB - BUCKETS`` most frequent words by counts
-over all documents, and BUCKETS classes for all other words, by hash. The network sees the ``SIDE``
+over all documents, and BUCKETS classes for all other words, by hash; a word of a class has the class's
+probability times its share of the class's occurrences. The counts of those words stay in a stored table,
+which grows with the corpus and is joined to the texts to score. The network sees the ``SIDE``
 tokens on each side of a place: the sum of their embeddings (one table for each offset) goes through
 tanh and predicts the masked token by a two-level softmax, first its class of ``GROUP`` tokens, then the
 token. Training is data-parallel: in each round every partition takes gradient steps from the common
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import lower, passes, plain, range_hashes, spans
+from quern.llm.common import list_array, lower, passes, plain, range_hashes, spans
 from quern.runtime import Workspace, prepare
 
 VOCAB, GROUP, BUCKETS = 4096, 64, 512
@@ -42,11 +44,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class Vocabulary:
-    """Frequent words by rank, other words by hash."""
+    """Frequent words by rank, other words by hash.
 
-    def __init__(self, hashes: np.ndarray):
+    ``classes`` holds the occurrences of all words of each class, and ``tail`` the path of a stored table
+    (word, n) of the words of the classes that occur more than once; None where no word is left for them.
+    """
+
+    def __init__(self, hashes: np.ndarray, classes: np.ndarray | None = None, tail: str | None = None):
         self.order = np.argsort(hashes)
         self.sorted = np.asarray(hashes, np.int64)[self.order]
+        self.classes = np.zeros(BUCKETS) if classes is None else classes
+        self.tail = tail
+
+    def least_shares(self, tokens: np.ndarray) -> np.ndarray:
+        """Log of the share of a word that occurs once in its class; 0 for frequent words.
+
+        A word of n occurrences has n times that, one that training has not seen as much as one seen
+        once, so that the words of a class and one word not seen make up 1.
+        """
+        return np.where(tokens < VOCAB - BUCKETS, 0.0, -np.log1p(self.classes[np.maximum(tokens - (VOCAB - BUCKETS), 0)]))
 
     def __call__(self, words: np.ndarray) -> np.ndarray:
         other = VOCAB - BUCKETS + words % BUCKETS
@@ -193,11 +209,18 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
     with Workspace(spark, "pseudo-lm") as ws:
         counted = ws.save(docs.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "counts")
         frequent = counted.orderBy(F.desc("n"), "word").limit(VOCAB - BUCKETS).collect()
-        everything = counted.agg(F.sum("n")).first()[0] or 0
-    vocabulary = Vocabulary(np.array([r.word for r in frequent], np.int64))
+        classes, tail = np.zeros(BUCKETS), None
+        if len(frequent) == VOCAB - BUCKETS:
+            last = frequent[-1]
+            rest = counted.filter((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
+            for r in rest.groupBy((F.col("word") % BUCKETS).alias("at")).agg(F.sum("n").alias("n")).collect():
+                classes[r["at"]] = r.n
+            ws.result(rest.filter("n > 1"))
+            tail = ws.kept
+    vocabulary = Vocabulary(np.array([r.word for r in frequent], np.int64), classes, tail)
     counts = np.zeros(VOCAB)
     counts[: len(frequent)] = [r.n for r in frequent]
-    counts[VOCAB - BUCKETS :] = (everything - counts.sum()) / BUCKETS  # the other words, spread by hash
+    counts[VOCAB - BUCKETS :] = classes
     network = Network().start_from_counts(counts)
     for k in range(rounds):
         held = spark.sparkContext.broadcast(pickle.dumps((vocabulary, network)))
@@ -259,14 +282,15 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
 def score(docs: DataFrame, model: tuple[Vocabulary, Network] | None = None) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, per_token) for every row of ``docs``.
 
-    ``log_likelihood`` sums the log-probability of each token given both sides; ``per_token`` is its mean,
+    ``log_likelihood`` sums the log-probability of each word given both sides; ``per_token`` is its mean,
     null without tokens. Null and empty texts have no tokens and a sum of 0. Rows, ties and null ids
     stay as they are; equal texts score alike; other columns are not read. Without ``model`` one is
     trained on ``docs``.
     """
     spark = prepare(docs.sparkSession)
     rows = plain(docs, "doc_id", "text")
-    held = spark.sparkContext.broadcast(pickle.dumps(model or train(rows)))
+    model = model or train(rows)
+    held = spark.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, net = pickle.loads(held.value)
@@ -275,10 +299,21 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network] | None = None) -> D
                 hashes, counts = word_hashes(data, offsets)
                 tokens = words(hashes)
                 total = np.zeros(len(tokens) + 1)
-                np.cumsum(net.log_probabilities(contexts(tokens, counts), tokens), out=total[1:])
+                np.cumsum(net.log_probabilities(contexts(tokens, counts), tokens) + words.least_shares(tokens), out=total[1:])
                 ends = np.cumsum(counts)
-                sums = total[ends] - total[ends - counts]
-                mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(counts), pa.array(sums), mean], names=["doc_id", "n_tokens", "log_likelihood", "per_token"])
-
-    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, log_likelihood double, per_token double")
+                rare = tokens >= VOCAB - BUCKETS
+                before = np.concatenate(([0], np.cumsum(rare)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(counts), pa.array(total[ends] - total[ends - counts]), list_array(hashes[rare], before[ends] - before[ends - counts])], names=["doc_id", "n_tokens", "least", "rare"])
+
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    scored = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, least double, rare array<bigint>")
+    if model[0].tail is None:
+        return scored.select("doc_id", "n_tokens", F.col("least").alias("log_likelihood")).withColumn("per_token", mean)
+    with Workspace(spark, "pseudo-lm") as ws:
+        stored = ws.save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+        tail = spark.read.schema("word bigint, n bigint").parquet(model[0].tail)
+        # whole numbers add up alike in any order
+        more = F.sum(F.round(F.log("n") * float(1 << 32)).cast("bigint")) / float(1 << 32)
+        gains = stored.select("row", F.explode("rare").alias("word")).join(tail, "word").groupBy("row").agg(more.alias("more"))
+        total = (F.col("least") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood")
+        return ws.result(stored.drop("rare").join(gains, "row", "left").select("doc_id", "n_tokens", total).withColumn("per_token", mean))

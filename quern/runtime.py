@@ -83,15 +83,15 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
         self.root = f"{shared_dir(spark)}/quern-{name}-{uuid.uuid4().hex}"
-        self._kept: str | None = None
+        self.kept: str | None = None
 
     def __enter__(self) -> "Workspace":
         return self
 
     def __exit__(self, *_: object) -> None:
         delete_path(self.spark, self.root)
-        if self._kept:
-            atexit.register(_delete_late, self.spark, self._kept)
+        if self.kept:
+            atexit.register(_delete_late, self.spark, self.kept)
 
     def save(self, df: DataFrame, table: str) -> DataFrame:
         path = f"{self.root}/{table}"
@@ -102,9 +102,9 @@ class Workspace:
         delete_path(self.spark, f"{self.root}/{table}")
 
     def result(self, df: DataFrame) -> DataFrame:
-        self._kept = f"{shared_dir(self.spark)}/quern-{self.name}-result-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(self._kept)
-        return self.spark.read.schema(df.schema).parquet(self._kept)
+        self.kept = f"{shared_dir(self.spark)}/quern-{self.name}-result-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(self.kept)
+        return self.spark.read.schema(df.schema).parquet(self.kept)
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

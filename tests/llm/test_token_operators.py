@@ -165,6 +165,28 @@ def test_scores_match_brute_force(spark):
         assert abs(total - r.log_likelihood) < 1e-3 and r.n_tokens == len(tokens) and abs(r.per_token - total / len(tokens)) < 1e-3
 
 
+def test_rare_words_have_their_own_probability(spark):
+    """A class's words share its probability by their counts, and one word not seen fills it up to 1."""
+    often = [f"often{k}" for k in range(pseudo_lm.VOCAB - pseudo_lm.BUCKETS)]
+    times = {f"rare{k}": 1 + k % 7 for k in range(1500)}
+    docs = frame(spark, [(k, " ".join(often)) for k in range(8)] + [(9, " ".join(w for w, n in times.items() for _ in range(n)))])
+    vocabulary, net = model = pseudo_lm.train(docs)
+    asked = [*times, "unheard"]
+    got = {r.doc_id: r for r in pseudo_lm.score(frame(spark, list(enumerate(asked))), model).collect()}
+    hashes = [int(pseudo_lm.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]) for w in asked]
+    tokens = vocabulary(np.array(hashes))
+    assert tokens.min() >= pseudo_lm.VOCAB - pseudo_lm.BUCKETS
+    of_class = net.log_probabilities(np.full((len(asked), 4), pseudo_lm.PAD), tokens)
+    total = {t: sum(n for w, n in times.items() if vocabulary(np.array([hashes[asked.index(w)]]))[0] == t) for t in set(tokens[:50]) | {tokens[-1]}}
+    for k in [*range(50), len(asked) - 1]:
+        want = of_class[k] + np.log(times.get(asked[k], 1) / (total[tokens[k]] + 1))
+        assert abs(got[k].log_likelihood - want) < 1e-3 and abs(got[k].per_token - want) < 1e-3
+    for t in total:
+        mine = [k for k in range(len(asked) - 1) if tokens[k] == t]
+        shares = sum(np.exp(got[k].log_likelihood - of_class[k]) for k in mine) + 1 / (total[t] + 1)
+        assert abs(shares - 1) < 1e-3
+
+
 def test_scores_are_probabilities():
     r = np.random.default_rng(0)
     net = pseudo_lm.Network()

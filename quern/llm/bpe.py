@@ -169,15 +169,14 @@ class Merger:
         found = self.keys[slot]
         out = np.where(found == keys, self.value[slot], len(self.tokens))
         todo = np.flatnonzero((found != keys) & (found != np.uint64(0xFFFFFFFFFFFFFFFF)))
+        slot = slot[todo]
         while len(todo):
-            slot = (slot[todo] if len(slot) == len(keys) else slot) + 1 & ((1 << self.bits) - 1)
+            slot = (slot + 1) & ((1 << self.bits) - 1)
             found, mine = self.keys[slot], keys[todo]
             hit = found == mine
             out[todo[hit]] = self.value[slot[hit]]
             on = ~hit & (found != np.uint64(0xFFFFFFFFFFFFFFFF))
             todo, slot = todo[on], slot[on]
-            if len(slot) == len(keys):
-                break
         return out
 
     def merge_matrix(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -36,6 +36,20 @@ def test_encoding_counts_and_decoding_match_a_public_encoder(path):
     assert token_counts.count_array(column, token_counts.Counter(tool)).to_pylist() == [len(x) for x in ids.to_pylist()[:-1]] + [None]
 
 
+@pytest.mark.parametrize("path", PATHS)
+def test_every_pair_is_found_alone(path):
+    """Pairs that lie far down the hash table are found by a call for one key too, and pieces alone get the public ids."""
+    tool, known = bpe.merger(path), public_encoder(path)
+    keys = np.array(list(tool.pairs), np.int64)
+    far = np.flatnonzero(tool.keys[tool._slot(keys.astype(np.uint64))] != keys.astype(np.uint64))
+    for key in keys[far[:20_000]]:
+        assert tool.rank(np.array([key >> 32]), np.array([key & 0xFFFFFFFF]))[0] == tool.pairs[int(key)]
+    for piece in [" thinly", *(t.decode("utf-8", "ignore") for t in tool.tokens[1000:50_000:40])]:
+        data = np.frombuffer(piece.encode(), np.uint8)
+        if len(data) and len(bpe.piece_starts(data, np.array([0, len(data)]))) == 1:
+            assert tool.merge_pieces(data, np.array([0]), np.array([len(data)]))[0].tolist() == known.encode_ordinary(piece)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_round_trips(text):

@@ -77,6 +77,24 @@ def registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def full_registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many registers of each text hold a shingle of their own."""
+    bucket = ((hashes >> np.uint64(48)).astype(np.int64) * REGISTERS) >> 16
+    full = np.zeros((len(counts), REGISTERS), bool)
+    full[np.repeat(np.arange(len(counts)), counts), bucket] = True
+    return full.sum(axis=1)
+
+
+def slack(full: np.ndarray) -> np.ndarray:
+    """Four standard deviations of an estimate at a Jaccard similarity of 0.5, where it varies most.
+
+    A filled register repeats the next full one, so a full register counts as often as the gap before it is
+    long; gaps are geometric, which leaves as many independent registers as ``alone`` says.
+    """
+    alone = np.maximum(full, 1) / (2 - full / REGISTERS)
+    return 2 / np.sqrt(alone)
+
+
 def bands(regs: np.ndarray) -> np.ndarray:
     """BANDS keys of 64 bits for each row."""
     n = len(regs)
@@ -96,25 +114,29 @@ def estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.clip((equal - COLLISION) / (1 - COLLISION), 0, 1)
 
 
-def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float) -> tuple[np.ndarray, np.ndarray]:
+def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a bucket to verify, enough for its connected components.
 
     Every text is compared with all texts not yet joined to an earlier one by an estimate of
     ``sure`` or more; pairs of at least ``least`` come out. So a bucket of n alike texts gives n - 1
-    pairs, and no pair is left out whose ends are not joined otherwise.
+    pairs, and no pair is left out whose ends are not joined otherwise. Both limits are wider by the
+    larger of two texts' ``more``; equal registers are always sure.
     """
     a, b = [], []
+    more = np.zeros(len(ids)) if more is None else more
     left = np.argsort(ids, kind="stable")
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             u = queue.pop()
             alike = estimate(regs[u], regs[left])
-            out = left[alike >= least]
+            wider = np.maximum(more[u], more[left])
+            joined = alike >= np.minimum(sure + wider, 1)
+            out = left[alike >= least - wider]
             a.append(np.full(len(out), ids[u]))
             b.append(ids[out])
-            queue += list(left[alike >= sure])
-            left = left[alike < sure]
+            queue += list(left[joined])
+            left = left[~joined]
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
 
 
@@ -166,7 +188,8 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
                 regs, some = registers(hashes, counts), np.flatnonzero(counts)
                 part = batch.slice(i, j - i).take(pa.array(some))
                 regs = regs[some]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), binary_array(regs.view(np.uint8).reshape(len(some), 2 * REGISTERS), 2 * REGISTERS), list_array(bands(regs), np.full(len(some), BANDS))], names=["doc_id", "digest", "regs", "bands"])
+                sized = np.column_stack([regs, full_registers(hashes, counts)[some].astype(np.uint16)])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), binary_array(sized.view(np.uint8).reshape(len(some), 2 * REGISTERS + 2), 2 * REGISTERS + 2), list_array(bands(regs), np.full(len(some), BANDS))], names=["doc_id", "digest", "regs", "bands"])
 
     digest = F.xxhash64("text", F.lit(1)), F.xxhash64("text", F.lit(2))
     rows = docs.dropna().select("doc_id", F.array(*digest).alias("digest"), "text")
@@ -190,13 +213,16 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = bucket_edges(np.concatenate(ids), np.concatenate(rows), threshold - 0.12, threshold + 0.2)
+            sized = np.concatenate(rows)
+            # what short texts' estimates vary beyond those of full registers widens both limits
+            least, each = float(slack(np.array(REGISTERS))), slack(sized[:, REGISTERS].astype(np.int64))
+            a, b = bucket_edges(np.concatenate(ids), sized[:, :REGISTERS], threshold - least, threshold + 0.2, each - least)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
         key, ids, rows = None, [], []
         for batch in batches:
             band, doc = batch.column("band").to_numpy(), batch.column("doc_id").to_numpy()
-            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(len(band), REGISTERS)
+            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(len(band), REGISTERS + 1)
             cut = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)])) if len(band) else [0]
             for lo, hi in zip(cut[:-1], cut[1:]):
                 if band[lo] != key:

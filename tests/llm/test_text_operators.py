@@ -197,6 +197,35 @@ def test_bucket_edges_join_what_all_pairs_join():
     assert len(a) == 195 and {(x % 5) == (y % 5) for x, y in zip(a, b)} == {True}
 
 
+def test_short_near_copies_reach_verification():
+    """Pairs at Jaccard similarity 0.5 of few shingles pass the estimate."""
+    r = np.random.default_rng(7)
+    for n in (9, 18, 30, 60):  # shingles of each text; two in three are common
+        passed = 0
+        for _ in range(300):
+            one = r.integers(0, 1 << 63, n, np.int64).astype(np.uint64) * np.uint64(2)
+            two = np.concatenate([one[: 2 * n // 3], r.integers(0, 1 << 63, n - 2 * n // 3, np.int64).astype(np.uint64) * np.uint64(2)])
+            both, counts = np.concatenate([one, two]), np.array([n, n])
+            full = minhash.slack(np.array(minhash.REGISTERS))
+            more = minhash.slack(minhash.full_registers(both, counts)) - full
+            passed += len(minhash.bucket_edges(np.array([1, 2]), minhash.registers(both, counts), 0.5 - full, 0.7, more)[0])
+        assert passed >= 298
+
+
+def test_short_near_copies_are_found(spark):
+    r = random.Random(12)
+    rows = []
+    for k in range(600):
+        text = [f"w{r.getrandbits(40)}" for _ in range(12)]
+        edited = list(text)
+        edited[r.randrange(2, 10)] = "edited"
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(edited))]
+    want = brute_groups(rows)
+    assert len(want) == 1200
+    got = {(x.doc_id, x.keep_id) for x in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 # ---- suffix-array dedup -------------------------------------------------------------------------
 
 

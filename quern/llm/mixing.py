@@ -3,14 +3,15 @@
 A classifier trained on a labelled table gives every document posteriors over domains. Each document
 d has t_d tokens and a posterior p_d; its rate r_d >= 0 says how many times it is to be
 used. Rates minimise the squared distance between the expected domain totals, sum of r_d t_d p_d, and
-the targets, by projected gradient descent from r = 1. One round is one small aggregation (a number
-for each domain) over a written table; the rounds before it are replayed from their gradients, so no
+the targets, by one projected gradient step from r = 1, whose gradient is found by Newton's method on the dual.
+One round is one small aggregation over a written table; the step is all that rates depend on, so no
 state is kept on executors.
 """
 
 from __future__ import annotations
 
 import pickle
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,46 +137,77 @@ def _fold_rates(steps: list[np.ndarray], k: int, tokens: str = "tokens", posteri
     return F.when(F.col(tokens) > 0, state["y" if ahead else "r"]).otherwise(F.lit(1.0))
 
 
+#: Weights of the distance from rate 1, tried one after the other, and parts of a Newton step tried in one aggregation.
+PULLS, PARTS = (1e-6, 1e-8, 1e-10, 1e-12), (1.0, 0.5, 0.2, 0.05, 0.01)
+
+
+def solve_dual(evaluate, targets: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, bool]:
+    """(g, whether it is optimal): rates max(0, 1 - p_d . g) bring the totals nearest to ``targets``.
+
+    These rates minimise |totals - targets|^2 + pull * sum of t_d (r_d - 1)^2, of which g is the dual, where
+    pull * g is the residual; Newton steps solve for it with ever smaller pulls. ``evaluate`` gives for each of
+    several g the totals, the Gram matrix of the documents in use, the sum of t_d r_d^2 and the least p_d . g.
+    For every v with p_d . v >= 0 for all d no rates come nearer than -targets . v / |v|; posteriors add
+    up to 1, so a residual lifted by its least p_d . v is such a v, and shows how near the optimum is.
+    """
+    k, g = len(targets), np.zeros(len(targets))
+    totals, gram, square, least = evaluate([g])[0]
+    for pull in PULLS:
+        while True:
+            off = totals - targets
+            size = float(np.linalg.norm(off))
+            v = off - min(0.0, pull * least)  # of g as it is when solved; any v that is nonnegative on all p_d bounds
+            bound = max(0.0, -float(targets @ v) / max(float(np.linalg.norm(v)), 1e-300)) if np.allclose(off, pull * g, rtol=1e-3, atol=1e-12) else 0.0
+            if size <= tolerance * np.linalg.norm(targets) or size - bound <= tolerance * size:
+                return g, True
+            slope = targets - totals + pull * g
+            if np.linalg.norm(slope) <= 1e-6 * size:
+                break
+            if rounds <= 0:
+                return g, False
+            rounds -= 1
+            step = -np.linalg.solve(gram + pull * np.eye(k), slope)
+            tried = [g + part * step for part in PARTS]
+            found = evaluate(tried)
+            value = [0.5 * f[2] + targets @ x + pull / 2 * x @ x for x, f in zip(tried, found)]
+            here = 0.5 * square + targets @ g + pull / 2 * g @ g
+            best = int(np.argmin(value))
+            if not value[best] < here:
+                break  # as exact as numbers are
+            g, (totals, gram, square, least) = tried[best], found[best]
+    return g, False
+
+
 def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = 60, tolerance: float = 1e-3) -> list[np.ndarray]:
-    """Projected-gradient steps for a stored table of (tokens, posterior).
+    """One step from rate 1 for a stored table of (tokens, posterior), in the form that ``_fold_rates`` takes.
 
-    Steps are taken in the metric that weighs a document by its tokens: r_d falls by p_d . g, and stays
-    at 0 or more. The first steps scale the residual by the inverse Gram matrix of the documents in
-    use. Once that stops helping, as with targets that no rates can meet, g is the residual over that
-    matrix's largest eigenvalue, with Nesterov's momentum, begun anew when the residual grows. Stops at a residual of ``tolerance`` of the targets' length, or when ten steps change it
-    by less than ``tolerance`` of itself.
+    The step is found by Newton's method, one aggregation a round. It ends at a residual of ``tolerance`` of
+    the targets' length, or where no rates leave less than the residual by ``tolerance`` of itself; that it ends after
+    ``rounds`` without either is warned of.
     """
     k = len(targets)
     pairs = [(i, j) for i in range(k) for j in range(k)]
     p = [F.col("posterior")[i] for i in range(k)]
-    steps: list[np.ndarray] = []
-    sizes: list[float] = []
-    accelerated, t = False, 1.0
-    for _ in range(rounds):
-        weight = F.col("tokens") * _fold_rates(steps, k, ahead=True)
-        used = F.when(weight > 0, F.col("tokens")).otherwise(0)
-        row = table.agg(*[F.coalesce(F.sum(weight * x), F.lit(0.0)) for x in p], *[F.coalesce(F.sum(used * p[i] * p[j]), F.lit(0.0)) for i, j in pairs]).first()
-        gram = np.array(row[k:], float).reshape(k, k)
-        top = float(np.linalg.eigvalsh(gram)[-1])
-        if top <= 0:
-            break
-        off = np.array(row[:k], float) - targets
-        size = float(np.linalg.norm(off))
-        if size <= tolerance * float(np.linalg.norm(targets)):
-            break
-        if accelerated and len(sizes) > 10 and abs(sizes[-10] - size) < tolerance * size:
-            break
-        if not accelerated and sizes and size > 0.9 * sizes[-1]:
-            accelerated, sizes = True, []
-        if not accelerated:
-            steps.append(np.append(np.linalg.pinv(gram, rcond=1e-9) @ off, 0.0))
-        else:
-            t = 1.0 if sizes and size > sizes[-1] else t
-            after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-            steps.append(np.append(off / top, (t - 1) / after))
-            t = after
-        sizes.append(size)
-    return steps
+    sum_of = lambda x: F.coalesce(F.sum(x), F.lit(0.0))
+    total = float(table.filter("tokens > 0").agg(F.sum("tokens")).first()[0] or 0)
+    if total <= 0:
+        return []
+    tokens = F.col("tokens") / F.lit(total)
+
+    def evaluate(tried: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float, float]]:
+        sums = []
+        for g in tried:
+            drop = sum((p[i] * float(g[i]) for i in range(1, k)), p[0] * float(g[0]))
+            rate = F.greatest(F.lit(0.0), 1 - drop)
+            used = F.when(rate > 0, tokens).otherwise(0.0)
+            sums += [*[sum_of(tokens * rate * x) for x in p], *[sum_of(used * p[i] * p[j]) for i, j in pairs], sum_of(tokens * rate * rate), F.min(drop)]
+        row = np.array(table.filter("tokens > 0").agg(*sums).first(), float).reshape(len(tried), -1)
+        return [(r[:k], r[k : k + k * k].reshape(k, k), float(r[-2]), float(r[-1])) for r in row]
+
+    g, optimal = solve_dual(evaluate, np.asarray(targets, float) / total, rounds, tolerance)
+    if not optimal:
+        warnings.warn(f"rates are not shown to be optimal after {rounds} rounds", stacklevel=2)
+    return [np.append(g, 0.0)]
 
 
 def _placed(text: Column, held: object) -> Column:

@@ -373,6 +373,22 @@ def test_rates_reach_the_constrained_optimum(spark):
     assert np.linalg.norm(a @ rate - target) <= 1.05 * np.linalg.norm(a @ best - target) + 1
 
 
+@pytest.mark.parametrize("shape", [(8, 0.5, 0.5), (3, 1, 6), (20, 0.3, 3)])
+def test_rates_of_skewed_mixtures_are_optimal(spark, shape):
+    """By default parameters; no nonnegative rates come nearer than -target . v / |v| for v >= 0 on all posteriors."""
+    r = np.random.default_rng(0)
+    p, t = r.dirichlet(shape, 2000), np.floor(r.lognormal(4, 1, 2000)) + 1
+    t[:5] = 20000
+    target = np.array([0.5, 0.35, 0.15]) * t.sum()
+    df = spark.createDataFrame([(float(a), list(map(float, b))) for a, b in zip(t, p)], "tokens double, posterior array<double>")
+    rated = df.select("tokens", "posterior", mixing._fold_rates(mixing.fit_rates(df, target), 3).alias("rate")).collect()
+    off = sum(x.tokens * x.rate * np.array(x.posterior) for x in rated) - target
+    v = off - min(0.0, (p @ off).min())
+    nearest = max(0.0, -(target @ v) / np.linalg.norm(v))
+    assert min(x.rate for x in rated) >= 0
+    assert np.linalg.norm(off) <= max(1e-3 * np.linalg.norm(target), 1.002 * nearest)
+
+
 def test_mix_on_awkward_rows(spark):
     docs, labels = mixed_corpus(spark, 200)
     odd = docs.unionByName(frame(spark, AWKWARD + [(7, "bread"), (7, "bread")])).withColumn("tokens", F.lit("mine")).withColumn("rate", F.lit(1)).withColumn("posterior", F.lit(2))

@@ -14,9 +14,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that are rejected as toxic, with their calibrated probabilities."""
-    _, rejected = toxicity.split(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return rejected.select("doc_id", "toxicity")
+    """The calibrated probability of every document, and whether it is rejected as toxic."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "toxicity", (F.col("toxicity") >= 0.5).alias("rejected"))
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

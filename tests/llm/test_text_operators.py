@@ -84,6 +84,12 @@ def test_toxicity_of_given_labels(spark):
     assert caught > 0.9 and blamed < 0.01  # some labels have no mark of any kind in their texts
 
 
+def test_toxicity_query_scores_every_document(spark, tiny):
+    rows = queries.QUERIES["op8_toxicity"](spark, tiny).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in spark.read.parquet(f"{tiny}/documents.parquet").collect())
+    assert all(0 <= r.toxicity <= 1 and r.rejected == (r.toxicity >= 0.5) for r in rows) and not all(r.rejected for r in rows)
+
+
 def test_toxicity_on_awkward_rows(spark):
     docs, labels = toxic_corpus(spark, 300)
     clash = frame(spark, AWKWARD + [(7, "again"), (7, "again")]).withColumn("toxicity", F.lit("mine")).withColumn("toxic", F.lit(9))

@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by cosine with a permutation index.
 
-Each vector is represented by its ``prefix`` nearest pivots in order. Each pivot has an inverted file
-of the vectors that it is near to, with their ranks. For a query the files of its own pivots are
-walked; vectors are ranked by the footrule distance of the two orders (a pivot missing in an order
-counts as rank ``prefix``), and the best are compared exactly.
+Each vector is represented by its nearest pivots in order. Vectors are filed in shards by their nearest
+pivot, and in a shard each pivot has an inverted file of the vectors that have it among their POST nearest,
+with the ranks. A query goes to the shards of its own POST nearest pivots, walks those pivots' files
+there, and ranks what it meets by the footrule distance over these heads of the two orders (a pivot
+missing in an order counts as rank POST). The footrule distance over PREFIX pivots orders the best of
+these anew, and the best of that order are compared exactly.
 
 For location-bounded orders the footrule distance is a constant less twice the sum, over shared
 pivots, of ``prefix - max(rank, rank')``, so only files that a query shares are touched.
@@ -19,20 +21,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import uniform
+from quern.llm.common import list_array, uniform
 from quern.llm.vectors import TOP_SCHEMA, clean, group_rows, keep_best, matrix, top_batch
 from quern.runtime import Workspace, prepare
 
-#: Vectors of an index shard and of a block of queries.
-SHARD, QUERY_BLOCK = 16_384, 2_048
-MAX_PIVOTS = 512
-PREFIX = 64
+#: Vectors of a shard at most, but for chance; and of what a query meets there, the shares that are ranked by
+#: the longer orders and that are compared exactly, and their least numbers.
+SHARD = 16_384
+RANKED, RERANKED = (0.12, 128), (0.03, 64)
+#: Pivots grow with the root of the number of vectors, up to a set that every task can hold.
+MAX_PIVOTS = 8_192
+POST, PREFIX = 128, 512
 
 
 def sizes(n: int) -> tuple[int, int, int]:
-    """(pivots, prefix, vectors to rerank for a query) for n vectors; the last grows with sqrt(n)."""
-    pivots = max(1, min(MAX_PIVOTS, n // 4))
-    return pivots, max(1, min(PREFIX, pivots // 4 or 1)), math.ceil(24 * math.sqrt(n))
+    """(pivots, places of a vector in inverted files, length of an order) for n vectors."""
+    pivots = max(1, min(n, MAX_PIVOTS, max(512, math.ceil(4 * math.sqrt(n)))))
+    return pivots, min(POST, pivots), min(PREFIX, pivots)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -43,101 +48,143 @@ def unit(x: np.ndarray) -> np.ndarray:
 def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """Numbers of the nearest pivots, nearest first; ties by number."""
     near = x @ pivots.T
-    return np.argsort(-near, axis=1, kind="stable")[:, :prefix].astype(np.int32)
+    return np.argsort(-near, axis=1, kind="stable")[:, :prefix].astype(np.int16)
+
+
+def place(pivots: np.ndarray, held: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first shard, shards) of each pivot, for the numbers of vectors that are nearest to them.
+
+    Pivots are halved along their main direction until the vectors of a part fit a shard. A pivot with
+    more than that gets as many shards of its own as its vectors fill.
+    """
+    first, many = np.zeros(len(pivots), np.int64), np.ones(len(pivots), np.int64)
+    todo, shard = [np.arange(len(pivots))], 0
+    while todo:
+        part = todo.pop()
+        total = int(held[part].sum())
+        if len(part) == 1 or total <= room:
+            first[part], many[part] = shard, max(1, -(-total // room))
+            shard += int(many[part[0]])
+            continue
+        x = pivots[part] - pivots[part].mean(axis=0)
+        along = np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")
+        half = int(np.clip(np.searchsorted(np.cumsum(held[part[along]]), total / 2), 1, len(part) - 1))
+        todo += [part[along[half:]], part[along[:half]]]
+    return first, many
 
 
 class Shard:
     """Inverted files of one shard."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, order: np.ndarray, pivots: int):
-        self.ids, self.x, self.prefix = ids, x, order.shape[1]
-        flat = order.ravel()
+    def __init__(self, ids: np.ndarray, x: np.ndarray, order: np.ndarray, pivots: int, post: int):
+        self.ids, self.x, self.order, self.post = ids, x, order, min(post, order.shape[1])
+        self.pivots = pivots
+        flat = order[:, : self.post].ravel()
         by = np.argsort(flat, kind="stable")
-        self.who = (by // self.prefix).astype(np.int64)
-        self.weight = (self.prefix - by % self.prefix).astype(np.int16)
+        self.who = (by // self.post).astype(np.int32)
+        self.weight = (self.post - by % self.post).astype(np.int16)
         self.bounds = np.searchsorted(flat[by], np.arange(pivots + 1))
 
-    def search(self, ids: np.ndarray, q: np.ndarray, order: np.ndarray, rerank: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best k by cosine among the ``rerank`` nearest by footrule, the query itself left out."""
-        n, rerank = len(self.ids), max(k + 1, min(rerank, len(self.ids)))
+    def nearest_by_footrule(self, order: np.ndarray, best: int, ranked: int) -> np.ndarray:
+        """The ``best`` by footrule over whole orders among the ``ranked`` nearest by footrule over their heads."""
+        n = len(self.ids)
+        shared = np.zeros(n, np.int32)
+        for p, w in zip(order[: self.post], range(self.post, 0, -1)):
+            a, b = self.bounds[p], self.bounds[p + 1]
+            shared[self.who[a:b]] += np.minimum(self.weight[a:b], w)
+        some = np.argpartition(shared, n - ranked)[n - ranked :] if ranked < n else np.arange(n)
+        size = self.order.shape[1]
+        mine = np.zeros(self.pivots, np.int16)  # what a pivot's rank leaves of the order's length
+        mine[order] = np.arange(size, 0, -1)
+        whole = np.minimum(mine[self.order[some]], np.arange(size, 0, -1, dtype=np.int16)).sum(axis=1, dtype=np.int32)
+        return some[np.argpartition(whole, len(some) - best)[len(some) - best :]] if best < len(some) else some
+
+    def search(self, ids: np.ndarray, q: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Best k by cosine among the nearest by footrule, the query itself left out."""
+        n = len(self.ids)
+        ranked, best = (max(k + 1, least, math.ceil(share * n)) for share, least in (RANKED, RERANKED))
         out_ids, out = np.full((len(q), k), -1 << 62), np.full((len(q), k), -np.inf)
-        weights = np.arange(self.prefix, 0, -1, dtype=np.int16)
         for i in range(len(q)):
-            if rerank < n:
-                shared = np.zeros(n, np.int16)
-                for p, w in zip(order[i], weights):
-                    a, b = self.bounds[p], self.bounds[p + 1]
-                    shared[self.who[a:b]] += np.minimum(self.weight[a:b], w)
-                some = np.argpartition(shared, n - rerank)[n - rerank :]
-            else:
-                some = np.arange(n)
+            some = self.nearest_by_footrule(order[i], best, ranked)
             some = some[self.ids[some] != ids[i]]
             if len(some):
-                best, score = keep_best(self.ids[some][None, :], (self.x[some] @ q[i])[None, :], k)
-                out_ids[i, : best.shape[1]], out[i, : best.shape[1]] = best, score
+                kept, score = keep_best(self.ids[some][None, :], (self.x[some] @ q[i])[None, :], k)
+                out_ids[i, : kept.shape[1]], out[i, : kept.shape[1]] = kept, score
         return out_ids, out
 
 
-def nearest(vectors: DataFrame, k: int = 10, seed: int = 5) -> DataFrame:
-    """(vec_id, neighbor_id, score, rank): for every vector its k approximately nearest others by cosine.
+def nearest(vectors: DataFrame, k: int = 10, queries: DataFrame | None = None, seed: int = 5) -> DataFrame:
+    """(vec_id, neighbor_id, score, rank): for every query its k approximately nearest others by cosine.
 
-    A zero vector has cosine 0 with all. Ties go to the lesser id; equal vectors under several ids
-    are neighbours of each other. Fewer than k others give fewer rows; one vector or none, no row.
+    ``queries`` has the columns of ``vectors`` and defaults to it; every row of ``vectors`` is in the index.
+    The pivots are a sample of it, by a hash of the id, whose size ``sizes`` gives; they, and how many
+    vectors each has, are all that the driver gets. A zero vector has cosine 0 with all. Ties go to the
+    lesser id; equal vectors under several ids are neighbours of each other, and a row of the query's own id is not its
+    neighbour. Fewer than k others give fewer rows; one vector or none, no row.
     What counts as a vector is told by ``vectors.clean``; other columns are not read.
     """
     spark = prepare(vectors.sparkSession)
     with Workspace(spark, "permutation") as ws:
         rows = ws.save(clean(vectors), "vectors")
         n = rows.count()
-        m, prefix, rerank = sizes(n)
-        # at most MAX_PIVOTS vectors come to the driver
-        picked = rows.orderBy(uniform(F.col("vec_id"), seed), "vec_id").limit(m).collect()
-        if not picked:
+        if not n:
             return spark.createDataFrame([], TOP_SCHEMA + ", rank int")
+        m, post, prefix = sizes(n)
+        picked = rows.orderBy(uniform(F.col("vec_id"), seed), "vec_id").limit(m).collect()
         pivots = unit(np.array([r.embedding for r in picked], float)).astype(np.float32)
+        d = pivots.shape[1]
         held = spark.sparkContext.broadcast(pivots)
-        n_shards, n_blocks = max(1, -(-n // SHARD)), max(1, -(-n // QUERY_BLOCK))
-        quota = -(-rerank // n_shards)
 
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            by: dict[tuple[int, int], list] = {}
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = unit(matrix(batch.column("embedding"))).astype(np.float32)
-                ids, shard, block = (batch.column(c).to_numpy() for c in ("vec_id", "shard", "block"))
-                order = orders(x, held.value, prefix) if len(x) else np.zeros((0, prefix), np.int32)
-                for kind, number in ((0, shard), (1, block)):
-                    for b in np.unique(number):
-                        mine = number == b
-                        by.setdefault((kind, int(b)), []).append((ids[mine], x[mine], order[mine]))
-            for (kind, b), parts in by.items():
-                a = [np.concatenate(p) for p in zip(*parts)]
-                yield pa.RecordBatch.from_pydict({"kind": pa.array([kind], pa.int32()), "number": pa.array([b], pa.int32()), "ids": pa.array([a[0].tobytes()]), "x": pa.array([a[1].tobytes()]), "orders": pa.array([a[2].tobytes()])})
-
-        numbered = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n_shards)).cast("int")).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(seed + 1)), F.lit(n_blocks)).cast("int"))
-        packed = ws.save(numbered.mapInArrow(pack, "kind int, number int, ids binary, x binary, orders binary"), "packed")
-        items = packed.filter("kind = 0").select(F.col("number").alias("shard"), "ids", "x", "orders", F.lit(None).cast("int").alias("block"))
-        asked = packed.filter("kind = 1").select("number", "ids", "x", "orders")
-        # every shard's group gets its own parts once and all queries, one block after another
-        sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).select("shard", "ids", "x", "orders", F.col("number").alias("block"))
-        share = max(1, min(8, n_blocks))  # a shard is searched by several tasks
-        both = items.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(share - 1)))).unionByName(sent.withColumn("part", F.pmod("block", F.lit(share))))
+                nearest_one = (x @ held.value.T).argmax(axis=1) if len(x) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), list_array(x.ravel(), np.full(len(x), d)), pa.array(nearest_one.astype(np.int32))], names=["vec_id", "x", "pivot"])
+
+        filed = ws.save(rows.mapInArrow(near, "vec_id bigint, x array<float>, pivot int"), "filed")
+        counts = np.zeros(m, np.int64)
+        for r in filed.groupBy("pivot").count().collect():  # one row a pivot
+            counts[r.pivot] = r["count"]
+        first, many = place(pivots, counts, SHARD)
+        placed = spark.sparkContext.broadcast((first, many))
+        draw = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 31))
+
+        def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, many = placed.value
+            for batch in batches:
+                pivot = batch.column("pivot").to_numpy()
+                shard = first[pivot] + batch.column("draw").to_numpy() % many[pivot]
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.zeros(len(shard), np.int32)), batch.column("vec_id"), batch.column("x")], names=["shard", "asked", "vec_id", "x"])
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, many = placed.value
+            for batch in batches:
+                x = unit(matrix(batch.column("embedding"))).astype(np.float32)
+                if not len(x):
+                    continue
+                order = orders(x, held.value, post)
+                lists = [np.unique(np.concatenate([np.arange(first[p], first[p] + many[p]) for p in o])) for o in order]
+                row = np.repeat(np.arange(len(x)), list(map(len, lists)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), pa.array(np.ones(len(row), np.int32)), batch.column("vec_id").take(pa.array(row)), list_array(x[row].ravel(), np.full(len(row), d))], names=["shard", "asked", "vec_id", "x"])
+
+        kinds = "shard bigint, asked int, vec_id bigint, x array<float>"
+        items = filed.withColumn("draw", draw).mapInArrow(route, kinds)
+        sent = (rows if queries is None else clean(queries, d)).mapInArrow(ask, kinds)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            open_parts = lambda r: (np.frombuffer(r["ids"], np.int64), np.frombuffer(r["x"], np.float32).reshape(-1, held.value.shape[1]), np.frombuffer(r["orders"], np.int32).reshape(-1, prefix))
-            for _, group in group_rows(batches, "task"):
+            for _, parts in group_rows(batches, "shard"):
                 mine, index = [], None
-                for row in group:  # sorted: the shard's own parts have a null block and come first
-                    if row["block"] is None:
-                        mine.append(open_parts(row))
-                        continue
-                    if index is None:
-                        index = Shard(*(np.concatenate(p) for p in zip(*mine)), len(held.value)) if mine else False
-                    if index:
-                        ids, q, order = open_parts(row)
-                        yield top_batch(ids, *index.search(ids, q, order, quota, k))
-
-        task = F.col("shard") * share + F.col("part")
-        tasks = both.withColumn("task", task).repartition(min(n_shards * share, 4096), "task").sortWithinPartitions("task", F.asc_nulls_first("block"))
-        found = tasks.select("task", "block", "ids", "x", "orders").mapInArrow(search, TOP_SCHEMA)
+                for part in parts:  # sorted: the shard's own vectors come first
+                    ids, x, asked = part.column("vec_id").to_numpy(), matrix(part.column("x")), part.column("asked").to_numpy() > 0
+                    if not asked.all():
+                        mine.append((ids[~asked], x[~asked]))
+                    if asked.any() and mine:
+                        if index is None:
+                            own, own_x = (np.concatenate(p) for p in zip(*mine))
+                            index = Shard(own, own_x, orders(own_x, held.value, prefix), m, post)
+                        yield top_batch(ids[asked], *index.search(ids[asked], x[asked], orders(x[asked], held.value, prefix), k))
+
+        n_shards = int((first + many).max())
+        found = items.unionByName(sent).repartition(min(n_shards, 1 << 16), "shard").sortWithinPartitions("shard", "asked").mapInArrow(search, TOP_SCHEMA)
         order = Window.partitionBy("vec_id").orderBy(F.desc("score"), "neighbor_id")
         return ws.result(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 TOP_SCHEMA = "vec_id bigint, neighbor_id bigint, score double"
 
 
-def clean(vectors: DataFrame) -> DataFrame:
+def clean(vectors: DataFrame, d: int | None = None) -> DataFrame:
     """(vec_id, embedding of doubles), one row an id.
 
-    Rows with a null id, with a null, empty or other-sized embedding than most, or with a null or
-    non-finite number in it are left out; of several embeddings of one id the least stays.
+    Rows with a null id, with a null, empty or other-sized embedding than most (or than ``d``), or with a
+    null or non-finite number in it are left out; of several embeddings of one id the least stays.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).dropna()
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     rows = rows.filter((F.size("embedding") > 0) & ~F.exists("embedding", bad))
-    usual = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).first()
-    rows = rows.filter(F.size("embedding") == (usual[0] if usual else 0))
+    if d is None:
+        usual = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).first()
+        d = usual[0] if usual else 0
+    rows = rows.filter(F.size("embedding") == d)
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
@@ -49,9 +51,17 @@ def top_batch(vec_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(ids[real]), pa.array(scores[real].astype(np.float64))], names=["vec_id", "neighbor_id", "score"])
 
 
-def group_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, Iterator[dict]]]:
-    """Rows, as dicts, of consecutive equal keys."""
+def group_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Stretches of consecutive rows with equal keys, as slices of the batches."""
     from itertools import groupby
 
-    rows = (r for b in batches for r in b.to_pylist())
-    return groupby(rows, key=lambda r: r[key])
+    def slices() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            keys = batch.column(key).to_numpy()
+            cut = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+            for a, b in zip([0, *cut], [*cut, len(keys)]):
+                if b > a:
+                    yield int(keys[a]), batch.slice(a, b - a)
+
+    for value, parts in groupby(slices(), key=lambda x: x[0]):
+        yield value, (part for _, part in parts)

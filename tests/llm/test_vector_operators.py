@@ -62,7 +62,6 @@ def test_top_k_sql(spark):
 
 def test_neighbours_recall(spark, monkeypatch):
     monkeypatch.setattr(permutation_index, "SHARD", 700)
-    monkeypatch.setattr(permutation_index, "QUERY_BLOCK", 300)
     r = np.random.default_rng(3)
     x = np.concatenate([r.normal(size=(1200, 24)), r.normal(size=(30, 24))[r.integers(0, 30, 800)] + 0.2 * r.normal(size=(800, 24))])
     _, top = brute(x, 10, True)
@@ -76,8 +75,61 @@ def test_neighbours_of_given_embeddings(spark):
     x = np.array([r.embedding for r in rows])
     s, top = brute(x, 10, True)
     got = lists(queries.QUERIES["op5_approximate_neighbours"](spark, path).collect())
+    asked = [i for i, r in enumerate(rows) if r.vec_id % 50 == 0]
+    assert set(got) == {rows[i].vec_id for i in asked}
     kth = s[np.arange(len(x)), top[:, -1]]
-    assert np.mean([sum(v >= kth[i] - 1e-5 for _, v in got[rows[i].vec_id]) / 10 for i in range(len(x))]) >= 0.9
+    assert np.mean([sum(v >= kth[i] - 1e-5 for _, v in got[rows[i].vec_id]) / 10 for i in asked]) >= 0.9
+
+
+def test_footrule_decides_what_is_compared():
+    """Of 2,000 vectors 64 are compared exactly: the nearest by footrule over whole orders of those nearest over heads."""
+    r = np.random.default_rng(6)
+    x = permutation_index.unit(r.normal(size=(2000, 16)) * np.linspace(1, 0.1, 16)).astype(np.float32)
+    m, post, prefix = permutation_index.sizes(2000)
+    order = permutation_index.orders(x, x[:m], prefix)
+    shard, met = permutation_index.Shard(np.arange(2000), x, order, m, post), []
+    search = shard.nearest_by_footrule
+    shard.nearest_by_footrule = lambda *a: met.append(search(*a)) or met[-1]
+    shard.search(np.arange(40), x[:40], order[:40], 10)
+    assert all(len(some) == 64 <= 0.05 * 2000 for some in met)
+
+    def shared(a, b, size):
+        rank = {p: i for i, p in enumerate(b[:size])}
+        return sum(size - max(i, rank[p]) for i, p in enumerate(a[:size]) if p in rank)
+
+    for i in range(3):
+        heads = np.array([shared(order[i], order[j], post) for j in range(2000)])
+        ranked = np.sort(heads)[-240]  # the share of RANKED
+        assert heads[met[i]].min() >= ranked
+        whole = np.array([shared(order[i], order[j], prefix) if heads[j] > ranked else -1 for j in range(2000)])
+        assert whole[met[i]][whole[met[i]] >= 0].min() >= np.sort(whole)[-64 - int((heads == ranked).sum())]
+
+
+def test_shards_hold_hot_pivots_in_parts():
+    r = np.random.default_rng(8)
+    pivots, held = r.normal(size=(60, 8)), r.integers(0, 40, 60)
+    held[7] = 1000
+    first, many = permutation_index.place(pivots, held, 100)
+    assert many[7] == 10 and (np.delete(many, 7) == 1).all()
+    for s in set(first):
+        mine = np.flatnonzero(first == s)
+        assert held[mine].sum() <= 100 or mine.tolist() == [7]
+    taken = np.concatenate([np.arange(a, a + n) for a, n in {(int(a), int(n)) for a, n in zip(first, many)}])
+    assert sorted(taken) == list(range(len(taken)))
+
+
+@pytest.mark.parametrize("search", [exact_topk.top_inner_products, permutation_index.nearest])
+def test_queries_are_answered_from_all_rows(spark, monkeypatch, search):
+    monkeypatch.setattr(exact_topk, "BLOCK", 64)
+    monkeypatch.setattr(exact_topk, "GROUP", 2)
+    x = np.random.default_rng(9).normal(size=(600, 8))
+    df = frame(spark, x)
+    asked = df.filter("vec_id % 3 = 0").unionByName(frame(spark, x[:1] * 2, [9000]))
+    got, every = lists(search(df, 5, asked).collect()), lists(search(df, 5).collect())
+    assert set(got) == {*range(0, 600, 3), 9000} and set(every) == set(range(600))
+    assert all(got[i] == every[i] for i in range(0, 600, 3))
+    assert [n for n, _ in got[9000] if n][:4] == [n for n, _ in every[0]][:4]
+    assert search(df, 5, df.filter("false")).count() == 0
 
 
 def test_footrule_is_what_shared_ranks_say():

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import list_array, mix, passes, ragged, range_hashes
+from quern.llm.common import list_array, mix, passes, ragged
 from quern.runtime import prepare
 
 #: Rows of a matrix: length buckets end at these byte counts; longer pieces are merged by the heap.
@@ -119,6 +119,40 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[start]
 
 
+#: Bytes of a piece that is held whole in WORDS words; a longer one is told apart from others of its pass by its bytes.
+SHORT = 31
+WORDS = (SHORT + 1) // 8
+
+
+def distinct_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words of each piece, their hash, one piece of each kind, the kind of each piece), by all bytes of the pieces.
+
+    The words of a piece up to SHORT bytes are its bytes and, as the last byte, its size; those of a longer one
+    are its number among such pieces and 255.
+    """
+    sizes = ends - starts
+    padded = np.zeros(len(data) + SHORT + 1, np.uint8)
+    padded[: len(data)] = data
+    block = np.lib.stride_tricks.sliding_window_view(padded, SHORT + 1)[starts]
+    block *= np.arange(SHORT + 1) < sizes[:, None]
+    block[:, SHORT] = np.minimum(sizes, 255)
+    words = block.view(np.uint64)
+    long = np.flatnonzero(sizes > SHORT)
+    if len(long):
+        seen: dict[bytes, int] = {}
+        words[long] = 0
+        words[long, 0] = [seen.setdefault(data[a:b].tobytes(), len(seen)) for a, b in zip(starts[long].tolist(), ends[long].tolist())]
+        block[long, SHORT] = 255
+    key = words[:, 0]
+    for k in range(1, WORDS):
+        key = mix(key) + words[:, k]
+    key = mix(key)
+    _, where, back = np.unique(key, return_index=True, return_inverse=True)
+    if (words[where][back] != words).any():  # one hash for two pieces: then every piece is a kind of its own
+        where = back = np.arange(len(starts))
+    return words, key, where, back
+
+
 # ---- merging -----------------------------------------------------------------------------------
 
 
@@ -157,7 +191,7 @@ class Merger:
         self.token_ends = np.cumsum(sizes)
         self.token_starts = self.token_ends - sizes
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.cache: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
+        self.cache: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros((0, WORDS), np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -249,39 +283,34 @@ class Merger:
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))
-        # two hashes of 64 bits name a piece
-        key, check = range_hashes(data, starts, ends), range_hashes(data ^ np.uint8(0xA5), starts, ends)
-        distinct, where, back = np.unique(key, return_index=True, return_inverse=True)
-        if (check[where][back] != check).any():  # never seen: then every piece is merged on its own
-            ids, counts = self.merge_pieces(data, starts, ends)
-        else:
-            have, have_check, have_at, have_ids = self.cache
-            at = np.minimum(np.searchsorted(have, distinct), max(0, len(have) - 1))
-            hit = (have[at] == distinct) & (have_check[at] == check[where]) if len(have) else np.zeros(len(distinct), bool)
-            new = np.flatnonzero(~hit)
-            fresh_ids, fresh_counts = self.merge_pieces(data, starts[where[new]], ends[where[new]])
-            pool = np.concatenate([have_ids, fresh_ids])
-            counts_of, start_of = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-            if len(have):
-                counts_of[hit], start_of[hit] = (have_at[1:] - have_at[:-1])[at[hit]], have_at[at[hit]]
-            counts_of[new], start_of[new] = fresh_counts, len(have_ids) + np.cumsum(fresh_counts) - fresh_counts
-            counts = counts_of[back]
-            ids = pool[ragged(start_of[back], counts)]
-            self._remember(distinct, check[where], start_of, counts_of, pool, new)
+        words, key, where, back = distinct_pieces(data, starts, ends)
+        words, key = words[where], key[where]
+        have, have_words, have_at, have_ids = self.cache
+        at = np.minimum(np.searchsorted(have, key), max(0, len(have) - 1))
+        hit = (have_words[at] == words).all(axis=1) if len(have) else np.zeros(len(key), bool)
+        new = np.flatnonzero(~hit)
+        fresh_ids, fresh_counts = self.merge_pieces(data, starts[where[new]], ends[where[new]])
+        pool = np.concatenate([have_ids, fresh_ids])
+        counts_of, start_of = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        if len(have):
+            counts_of[hit], start_of[hit] = (have_at[1:] - have_at[:-1])[at[hit]], have_at[at[hit]]
+        counts_of[new], start_of[new] = fresh_counts, len(have_ids) + np.cumsum(fresh_counts) - fresh_counts
+        counts = counts_of[back]
+        ids = pool[ragged(start_of[back], counts)]
+        self._remember(key, words, start_of, counts_of, pool, new[ends[where[new]] - starts[where[new]] <= SHORT])
         row = np.searchsorted(starts, offsets)
         total = np.concatenate(([0], np.cumsum(counts)))
         return ids, np.diff(total[row])
 
-    def _remember(self, key, check, start, count, pool, new) -> None:
-        have, have_check, have_at, _ = self.cache
+    def _remember(self, key, words, start, count, pool, new) -> None:
+        have, have_words, have_at, _ = self.cache
         if len(have) + len(new) > CACHE_PIECES:
-            have, have_check, have_at = have[:0], have_check[:0], have_at[:1]
-            new = np.arange(len(key))
-        keys, checks = np.concatenate([have, key[new]]), np.concatenate([have_check, check[new]])
+            have, have_words, have_at = have[:0], have_words[:0], have_at[:1]
+        keys, named = np.concatenate([have, key[new]]), np.concatenate([have_words, words[new]])
         starts, counts = np.concatenate([have_at[:-1], start[new]]), np.concatenate([np.diff(have_at), count[new]])
         _, order = np.unique(keys, return_index=True)
         counts = counts[order]
-        self.cache = (keys[order], checks[order], np.concatenate(([0], np.cumsum(counts))), pool[ragged(starts[order], counts)])
+        self.cache = (keys[order], named[order], np.concatenate(([0], np.cumsum(counts))), pool[ragged(starts[order], counts)])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all rows end to end, bytes per row)."""

@@ -42,13 +42,44 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+#: Polynomials modulo 2 ** 64 take some long ranges of two values for one another (Thue-Morse words from some
+#: 1,000 values on); ranges from LONG on also count by two polynomials modulo a prime, which do not.
+LONG, PRIME, BASES = 128, (1 << 31) - 1, (1_103_515_245, 998_244_353)
+
+
+def _residues(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` modulo PRIME."""
+    out, have, step = np.ones(n, U64), 1, base
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = out[:more] * U64(step) % U64(PRIME)
+        have, step = have + more, step * step % PRIME
+    return out
+
+
+def _prime_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """62 bits by polynomials modulo PRIME for each range."""
+    n, small, out = len(values), (mix(values.astype(U64) + U64(1)) >> U64(34)) + U64(1), np.zeros(len(starts), U64)
+    for base in BASES:
+        prefix = np.zeros(n + 1, U64)
+        np.cumsum(small * _residues(base, n) % U64(PRIME), out=prefix[1:])
+        back = _residues(pow(base, -1, PRIME), n + 1)[starts]
+        out = out << U64(31) | (prefix[ends] - prefix[starts]) % U64(PRIME) * back % U64(PRIME)
+    return out
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of ``values[s:e]`` for each pair, in one prefix sum; equal ranges hash alike anywhere."""
     n = len(values)
     prefix = np.zeros(n + 1, U64)
     np.cumsum((values.astype(U64) + U64(1)) * _power("r", n), out=prefix[1:])
     back = _power("i", n + 1)[starts]
-    return mix((prefix[ends] - prefix[starts]) * back + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+    sizes = ends - starts
+    out = (prefix[ends] - prefix[starts]) * back + sizes.astype(U64) * U64(0xD6E8FEB86659FD93)
+    long = np.flatnonzero(sizes >= LONG)
+    if len(long):
+        out[long] += mix(_prime_hashes(values, starts[long], ends[long]))
+    return mix(out)
 
 
 def passes(column: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

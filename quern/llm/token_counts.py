@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.bpe import Merger, merger, piece_starts, vocabulary_path
-from quern.llm.common import passes, range_hashes
+from quern.llm.bpe import Merger, distinct_pieces, merger, piece_starts, vocabulary_path
+from quern.llm.common import passes
 from quern.runtime import prepare
 
 #: Pieces whose counts a worker remembers.
@@ -72,10 +72,7 @@ class Counter:
         if not len(starts):
             return np.zeros(len(offsets) - 1, np.int64)
         ends = np.append(starts[1:], len(data))
-        key, check = range_hashes(data, starts, ends), range_hashes(data ^ np.uint8(0xA5), starts, ends)
-        _, where, back = np.unique(key, return_index=True, return_inverse=True)
-        if (check[where][back] != check).any():
-            where = back = np.arange(len(starts))
+        _, _, where, back = distinct_pieces(data, starts, ends)
         blob, cache, counts = data.tobytes(), self.cache, np.empty(len(where), np.int64)
         if len(cache) > CACHE_PIECES:
             cache.clear()

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quern.llm import bpe, pseudo_lm, queries, token_counts, wavelet
+from quern.llm.common import range_hashes
 from tests.llm.test_text_operators import AWKWARD, frame
 
 PATHS = [bpe.vocabulary_path(), bpe.vocabulary_path("byte_bpe_multi_50k.tiktoken")]
@@ -57,6 +58,33 @@ def test_any_text_round_trips(text):
     assert bpe.decode_array(bpe.encode_array(pa.array([text]), tool), tool).to_pylist() == [text]
 
 
+@pytest.mark.parametrize("power", [10, 11, 12])
+def test_words_that_collide_modulo_powers_of_two_are_told_apart(power):
+    """Thue-Morse words and their complements, which polynomial hashes modulo 2 ** 64 take for one."""
+    bits = [bin(k).count("1") & 1 for k in range(1 << power)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    tool, known = bpe.Merger(bpe.read_ranks(PATHS[0])), public_encoder(PATHS[0])
+    texts = [f"{one} x {two}", two, one, "x " * 40 + one]
+    want = [known.encode_ordinary(t) for t in texts]
+    assert bpe.encode_array(pa.array(texts), tool).to_pylist() == want
+    assert [bpe.encode_array(pa.array([t]), tool).to_pylist()[0] for t in texts] == want
+    assert token_counts.count_array(pa.array(texts), token_counts.Counter(tool)).to_pylist() == list(map(len, want))
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    h = range_hashes(data, np.array([0, len(one)]), np.array([len(one), len(data)]))
+    w = range_hashes(np.array(bits + [1 - b for b in bits], np.uint64), np.array([0, len(one)]), np.array([len(one), len(data)]))
+    assert h[0] != h[1] and w[0] != w[1]
+
+
+def test_long_ranges_hash_by_content():
+    r = np.random.default_rng(1)
+    part = r.integers(0, 256, 1000).astype(np.uint8)
+    for size in (127, 128, 129, 700):
+        whole = np.concatenate([r.integers(0, 256, 50).astype(np.uint8), part, r.integers(0, 256, 7).astype(np.uint8), part])
+        at = np.array([50, 1057, 51])
+        h = range_hashes(whole, at, at + size)
+        assert h[0] == h[1] != h[2] and h[0] == range_hashes(part, np.array([0]), np.array([size]))[0]
+
+
 def test_heap_merges_like_repeated_search():
     pairs, r = bpe.merger(PATHS[0]).pairs, random.Random(1)
 

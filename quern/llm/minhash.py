@@ -5,17 +5,21 @@ words). Each shingle's hash picks one of ``REGISTERS`` buckets; a bucket keeps i
 compressed to a leading-zero count (6 bits) and the ``MANTISSA`` bits after it. Registers without a
 shingle are filled from the next full one, so that short texts band like long ones. Bands of
 compressed registers propose; texts of a bucket are compared by the collision-corrected Jaccard
-estimate, and what that lets through is verified by exact Jaccard similarity of the shingle sets.
-Groups are connected components of verified pairs.
+estimate over the registers that have a shingle, which for short texts is nearly the similarity itself. For it
+registers travel folded to ``FOLD`` bits. What it lets through is verified by
+exact Jaccard similarity of the shingle sets. First every text is verified against the least text
+proposed for it; a pair whose ends were found near one text is joined already and needs no more.
+Groups are connected components of verified pairs; exact copies follow their first text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import binary_array, keys_in, list_array, lower, mix, passes, plain, range_hashes, spans
@@ -54,45 +58,64 @@ def compress(least: np.ndarray) -> np.ndarray:
     return ((zeros << MANTISSA) | mantissa).astype(np.uint16)
 
 
-def registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """One row of compressed, filled registers for each text; texts without shingles get zeros."""
+def own_registers(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(compressed registers of each text, which of them have no shingle)."""
     n = len(counts)
-    out = np.zeros((n, REGISTERS), np.uint16)
-    if not len(hashes):
-        return out
     row = np.repeat(np.arange(n), counts)
     bucket = ((hashes >> np.uint64(48)).astype(np.int64) * REGISTERS) >> 16
     least = np.full(n * REGISTERS, 1 << 48, np.int64)
     np.minimum.at(least, row * REGISTERS + bucket, (hashes & np.uint64((1 << 48) - 1)).astype(np.int64))
     empty = (least == 1 << 48).reshape(n, REGISTERS)
-    packed = compress(np.where(least == 1 << 48, 1, np.maximum(least, 1))).reshape(n, REGISTERS)
-    # an empty register takes the value of the next full one, round the ring, marked with the distance
-    index = np.where(empty, 4 * REGISTERS, np.arange(REGISTERS))
-    ring = np.minimum.accumulate(np.concatenate([index, index + REGISTERS], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :REGISTERS]
-    some = np.flatnonzero(counts)
-    source = ring[some]
+    return compress(np.where(least == 1 << 48, 1, np.maximum(least, 1))).reshape(n, REGISTERS), empty
+
+
+def fill(packed: np.ndarray, empty: np.ndarray) -> np.ndarray:
+    """An empty register takes the value of the next full one, round the ring, marked with the distance."""
+    out, some = np.zeros(packed.shape, np.uint16), np.flatnonzero(~empty.all(axis=1))
+    index = np.where(empty[some], 4 * REGISTERS, np.arange(REGISTERS))
+    source = np.minimum.accumulate(np.concatenate([index, index + REGISTERS], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :REGISTERS]
     far = (source - np.arange(REGISTERS)).astype(np.uint64)
     taken = np.take_along_axis(packed[some], source % REGISTERS, axis=1)
     out[some] = np.where(far == 0, taken, (mix(taken.astype(np.uint64) + far * np.uint64(1 << 20)) & np.uint64(0xFFFF)).astype(np.uint16))
     return out
 
 
-def full_registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """How many registers of each text hold a shingle of their own."""
-    bucket = ((hashes >> np.uint64(48)).astype(np.int64) * REGISTERS) >> 16
-    full = np.zeros((len(counts), REGISTERS), bool)
-    full[np.repeat(np.arange(len(counts)), counts), bucket] = True
-    return full.sum(axis=1)
+def registers(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One row of compressed, filled registers for each text; texts without shingles get zeros."""
+    return fill(*own_registers(hashes, counts))
 
 
-def slack(full: np.ndarray) -> np.ndarray:
-    """Four standard deviations of an estimate at a Jaccard similarity of 0.5, where it varies most.
+#: Bits of a folded register: 0 if it has no shingle, else one of KINDS others by its value.
+FOLD = 4
+KINDS = (1 << FOLD) - 1
+FEW = 24
+_ZEROS = np.array([(x < 16) + (x % 16 == 0) for x in range(256)], np.uint8)
+#: Four standard deviations of an estimate by folded registers at a Jaccard similarity of 0.5, where it varies most:
+#: sqrt(0.25 / 192) for texts of many shingles and less for others, whose registers are nearly their shingles; and
+#: what chance agreements of folded registers add.
+SLACK = 4 * math.sqrt(0.25 / REGISTERS + 0.5 / KINDS / REGISTERS) / (1 - 1 / KINDS)
 
-    A filled register repeats the next full one, so a full register counts as often as the gap before it is
-    long; gaps are geometric, which leaves as many independent registers as ``alone`` says.
+
+def fold(packed: np.ndarray, empty: np.ndarray) -> np.ndarray:
+    """Registers folded to FOLD bits, two in a byte."""
+    small = (mix(packed.astype(np.uint64)) % np.uint64(KINDS)).astype(np.uint8) + 1
+    small[empty] = 0
+    return small[:, ::2] << 4 | small[:, 1::2]
+
+
+def folded_estimates(one: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(Jaccard estimate, the most that it may miss by chance): equal registers among those that either text has, less
+    chance agreements.
+
+    Where two texts have under FEW registers, one shingle that shares a register with another is a large part of
+    the similarity; the second number allows for one.
     """
-    alone = np.maximum(full, 1) / (2 - full / REGISTERS)
-    return 2 / np.sqrt(alone)
+    lacking = lambda x: _ZEROS[x].sum(axis=-1, dtype=np.int64)
+    neither = lacking(others | one)
+    either = REGISTERS - neither
+    both = 2 * REGISTERS - lacking(one) - lacking(others) - either
+    equal = (lacking(others ^ one) - neither - both / KINDS) / (1 - 1 / KINDS)
+    return np.clip(equal / np.maximum(either, 1), 0, 1), np.clip((equal + (either < FEW)) / np.maximum(either, 1), 0, 1)
 
 
 def bands(regs: np.ndarray) -> np.ndarray:
@@ -114,25 +137,22 @@ def estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.clip((equal - COLLISION) / (1 - COLLISION), 0, 1)
 
 
-def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, more: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, alike_by=lambda one, others: (estimate(one, others),) * 2) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a bucket to verify, enough for its connected components.
 
     Every text is compared with all texts not yet joined to an earlier one by an estimate of
     ``sure`` or more; pairs of at least ``least`` come out. So a bucket of n alike texts gives n - 1
-    pairs, and no pair is left out whose ends are not joined otherwise. Both limits are wider by the
-    larger of two texts' ``more``; equal registers are always sure.
+    pairs, and no pair is left out whose ends are not joined otherwise.
     """
     a, b = [], []
-    more = np.zeros(len(ids)) if more is None else more
     left = np.argsort(ids, kind="stable")
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             u = queue.pop()
-            alike = estimate(regs[u], regs[left])
-            wider = np.maximum(more[u], more[left])
-            joined = alike >= np.minimum(sure + wider, 1)
-            out = left[alike >= least - wider]
+            alike, at_most = alike_by(regs[u], regs[left])
+            joined = alike >= sure
+            out = left[at_most >= least]
             a.append(np.full(len(out), ids[u]))
             b.append(ids[out])
             queue += list(left[joined])
@@ -143,16 +163,18 @@ def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, m
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     """(id, root) for every id of ``edges`` (a, b): root is the least id of its connected component.
 
-    Alternating large-star and small-star rounds over written tables, until no edge changes.
+    Alternating large-star and small-star rounds over written tables, until no edge changes. A text with
+    many neighbours is never one task's: least neighbours are aggregated and joined back.
     """
     both = lambda e: e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = lambda e: e.groupBy("u").agg(F.min("v").alias("m"))
     current, before = ws.save(edges.filter("a <> b").distinct(), "star-0"), None
     for k in range(1, 200):
         # large star: every larger neighbour of u joins the least of u's neighbourhood
-        near = Window.partitionBy("u")
-        large = both(current).withColumn("m", F.least(F.min("v").over(near), F.col("u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        near = both(current)
+        large = near.filter("v > u").join(least(near), "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         # small star: u and its smaller neighbours join the least of them
-        small = large.withColumn("m", F.min("v").over(near))
+        small = large.join(least(large), "u")
         nxt = small.filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(small.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
         table = ws.save(nxt, f"star-{k}")
         state = table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -181,48 +203,78 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.5, shingle: int = 3) -
         return ws.result(_groups(ws, plain(docs, "doc_id", "text"), threshold, shingle))
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (band, doc_id) in order: the rows of bands that hold two documents or more, and for each such band a row
+    without doc_id whose ``who`` tells which documents those are."""
+    band, last, who, several = None, None, 0, False
+    row = lambda b, d, w: pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(d, pa.int64()), pa.array(w, pa.int64())], names=["band", "doc_id", "who"])
+    for batch in batches:
+        bands, ids = batch.column("band").to_numpy(), batch.column("doc_id").to_numpy()
+        if not len(ids):
+            continue
+        again = np.zeros(len(ids), bool)
+        again[1:] = (bands[1:] == bands[:-1]) & (ids[1:] == ids[:-1])
+        again[0] = band is not None and bands[0] == band and ids[0] == last
+        bands, ids = bands[~again], ids[~again]
+        if not len(ids):
+            continue
+        head = np.flatnonzero(np.concatenate(([True], bands[1:] != bands[:-1])))
+        size = np.diff(np.append(head, len(ids)))
+        sums = np.add.reduceat(mix(ids.view(np.uint64)), head)
+        keep = size > 1
+        if band is not None:
+            if bands[0] == band:  # goes on from the batch before
+                sums[:1] += np.uint64(who)
+                if not several:
+                    yield row([band], [last], [None])
+                keep[0] = True
+            elif several:
+                yield row([band], [None], [np.uint64(who).astype(np.int64)])
+        band, last, who, several = int(bands[-1]), int(ids[-1]), int(sums[-1]), bool(keep[-1])
+        whole = np.repeat(keep, size)
+        yield row(bands[whole], ids[whole], pa.nulls(int(whole.sum()), pa.int64()))
+        told = np.flatnonzero(keep[:-1])  # the last one may go on
+        yield row(bands[head[told]], pa.nulls(len(told), pa.int64()), sums[told].view(np.int64))
+    if several:
+        yield row([band], [None], [np.uint64(who).astype(np.int64)])
+
+
 def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, hashes, counts in shingles(batch.column("text"), shingle):
-                regs, some = registers(hashes, counts), np.flatnonzero(counts)
+                some = np.flatnonzero(counts)
                 part = batch.slice(i, j - i).take(pa.array(some))
-                regs = regs[some]
-                sized = np.column_stack([regs, full_registers(hashes, counts)[some].astype(np.uint16)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("digest"), binary_array(sized.view(np.uint8).reshape(len(some), 2 * REGISTERS + 2), 2 * REGISTERS + 2), list_array(bands(regs), np.full(len(some), BANDS))], names=["doc_id", "digest", "regs", "bands"])
-
-    digest = F.xxhash64("text", F.lit(1)), F.xxhash64("text", F.lit(2))
-    rows = docs.dropna().select("doc_id", F.array(*digest).alias("digest"), "text")
-    sketched = ws.save(rows.mapInArrow(sketch, "doc_id bigint, digest array<bigint>, regs binary, bands array<bigint>"), "sketched")
-    copies = ws.save(sketched.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.collect_set("doc_id").alias("ids")).filter("n > 1").select("rep", F.explode("ids").alias("doc_id")), "copies")
-    later = copies.filter("doc_id <> rep").select("doc_id").distinct()
+                own = own_registers(hashes, counts[some])
+                folded = fold(*own)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("d1"), part.column("d2"), binary_array(folded, folded.shape[1]), list_array(bands(fill(*own)), np.full(len(some), BANDS))], names=["doc_id", "d1", "d2", "regs", "bands"])
+
+    rows = docs.dropna().select("doc_id", F.xxhash64("text", F.lit(1)).alias("d1"), F.xxhash64("text", F.lit(2)).alias("d2"), "text")
+    sketched = ws.save(rows.mapInArrow(sketch, "doc_id bigint, d1 bigint, d2 bigint, regs binary, bands array<bigint>"), "sketched")
+    firsts = sketched.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    copies = ws.save(sketched.select("doc_id", "d1", "d2").join(firsts, ["d1", "d2"]).select("rep", "doc_id").distinct(), "copies")
     # a later copy adds nothing but its link to the first one, unless its id has another text as well
-    several = sketched.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id")
-    later = ws.save(later.join(several, "doc_id", "left_anti"), "later")
+    several = sketched.groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("x"), F.max(F.struct("d1", "d2")).alias("y")).filter("x <> y").select("doc_id")
+    several = ws.save(several, "several")
+    later = ws.save(copies.filter("doc_id <> rep").select("doc_id").distinct().join(several, "doc_id", "left_anti"), "later")
     reps = keys_in(sketched, later, "doc_id", "left_anti")
 
-    posted = reps.select("doc_id", F.explode("bands").alias("band"))
-    ws.save(posted.groupBy("band").agg(F.count("*").alias("n"), F.min("doc_id").alias("x"), F.max("doc_id").alias("y"), F.sum(F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1))).alias("who"), F.collect_list("doc_id").alias("ids")).filter("x < y"), "buckets")
-    buckets = ws.spark.read.parquet(f"{ws.root}/buckets")
+    posted = reps.select(F.explode("bands").alias("band"), "doc_id")
+    buckets = ws.save(posted.repartition("band").sortWithinPartitions("band", "doc_id").mapInArrow(_buckets, "band bigint, doc_id bigint, who bigint"), "buckets")
     # bands that hold the same texts need one comparison
-    once = buckets.groupBy("n", "x", "y", "who").agg(F.min("band").alias("band"))
-    members = buckets.join(once.select("band"), "band", "left_semi").select("band", F.explode("ids").alias("doc_id"))
-    wanted = ws.save(members.distinct(), "members")
-    regs = reps.select("doc_id", "regs").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    filled = wanted.join(regs, "doc_id")
+    once = buckets.filter("doc_id is null").groupBy("who").agg(F.min("band").alias("band")).select("band")
+    wanted = ws.save(buckets.filter("doc_id is not null").select("band", "doc_id").join(once, "band", "left_semi"), "members")
+    filled = wanted.join(reps.select("doc_id", "regs"), "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(ids: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
-            sized = np.concatenate(rows)
-            # what short texts' estimates vary beyond those of full registers widens both limits
-            least, each = float(slack(np.array(REGISTERS))), slack(sized[:, REGISTERS].astype(np.int64))
-            a, b = bucket_edges(np.concatenate(ids), sized[:, :REGISTERS], threshold - least, threshold + 0.2, each - least)
+            a, b = bucket_edges(np.concatenate(ids), np.concatenate(rows), threshold - SLACK, threshold + 0.2, folded_estimates)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
         key, ids, rows = None, [], []
         for batch in batches:
             band, doc = batch.column("band").to_numpy(), batch.column("doc_id").to_numpy()
-            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(len(band), REGISTERS + 1)
+            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(len(band), REGISTERS // 2)
             cut = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)])) if len(band) else [0]
             for lo, hi in zip(cut[:-1], cut[1:]):
                 if band[lo] != key:
@@ -247,21 +299,37 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
                 new[1:] = (row[1:] != row[:-1]) | (small[1:] != small[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), list_array(small[new], np.bincount(row[new], minlength=len(counts)))], names=["doc_id", "set"])
 
-    ends = ws.save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
-    contents = keys_in(docs.dropna(), ends, "doc_id").select("doc_id", "text").mapInArrow(sets, "doc_id bigint, set array<bigint>")
-    contents = ws.save(contents.dropDuplicates(), "sets")
     common = F.size(F.array_intersect("sa", "sb"))
-    near = pairs.join(contents.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(contents.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
-    near = near.filter(common >= F.lit(threshold) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    edges = near.unionAll(copies.filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    roots = components(ws, edges)
-    return roots.select(F.col("id").alias("doc_id"), F.col("root").alias("keep_id"), F.count("*").over(Window.partitionBy("root")).alias("group_size"))
+
+    def verified(some: DataFrame, name: str) -> DataFrame:
+        """The pairs of a stored table whose Jaccard similarity reaches the threshold."""
+        ends = ws.save(some.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}-ends")
+        contents = keys_in(docs.dropna(), ends, "doc_id").select("doc_id", "text").mapInArrow(sets, "doc_id bigint, set array<bigint>")
+        contents = ws.save(contents.dropDuplicates(), f"{name}-sets")
+        near = some.join(contents.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a").join(contents.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
+        near = ws.save(near.filter(common >= F.lit(threshold) * (F.size("sa") + F.size("sb") - common)).select("a", "b"), name)
+        ws.drop(f"{name}-sets")
+        return near
+
+    first = verified(ws.save(pairs.groupBy("b").agg(F.min("a").alias("a")), "first-pairs"), "first")
+    parent = first.groupBy("b").agg(F.min("a").alias("p"))
+    with_parents = pairs.join(parent.select(F.col("b").alias("a"), F.col("p").alias("pa")), "a", "left").join(parent.withColumnRenamed("p", "pb"), "b", "left")
+    apart = F.coalesce("pa", "a") != F.coalesce("pb", "b")
+    tried = pairs.groupBy("b").agg(F.min("a").alias("a"))
+    rest = ws.save(with_parents.filter(apart).select("a", "b").join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    near = first.unionAll(verified(rest, "rest"))
+    roots = components(ws, near.unionAll(copies.filter("doc_id <> rep").join(several, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))))
+    roots = ws.save(roots, "roots")
+    held = copies.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select(F.col("doc_id").alias("id"), F.coalesce("root", "rep").alias("root"))
+    every = ws.save(roots.unionAll(held).distinct(), "grouped")
+    sizes = every.groupBy(F.col("root").alias("keep_id")).agg(F.count("*").alias("group_size"))
+    return every.select(F.col("id").alias("doc_id"), F.col("root").alias("keep_id")).join(sizes, "keep_id").select("doc_id", "keep_id", "group_size")
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.5, shingle: int = 3) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one of the least doc_id.
 
-    Of rows with one doc_id and one text the first stays; rows of a null doc_id or text all stay.
+    Of rows with one doc_id and one text one stays, whichever; rows of a null doc_id or text all stay.
     """
     gone = near_duplicates(docs, threshold, shingle).filter("doc_id <> keep_id").select(F.col("doc_id").alias("__gone"))
     held = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")

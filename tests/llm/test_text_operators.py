@@ -203,6 +203,47 @@ def test_bucket_edges_join_what_all_pairs_join():
     assert len(a) == 195 and {(x % 5) == (y % 5) for x, y in zip(a, b)} == {True}
 
 
+@pytest.mark.parametrize("n", [3, 12, 40, 150, 3000])
+def test_folded_estimate_is_near_jaccard(n):
+    """For texts of any number of shingles, within what the cut-off allows for."""
+    r = np.random.default_rng(11)
+    for common in (0, n // 3, n // 2, 2 * n // 3, n):
+        one, two = r.integers(0, 1 << 63, (2, 200, n), np.int64).astype(np.uint64) * np.uint64(2)
+        two[:, :common] = one[:, :common]
+        both = minhash.fold(*minhash.own_registers(np.concatenate([one.ravel(), two.ravel()]), np.full(400, n)))
+        got, at_most = np.array([[x[0] for x in minhash.folded_estimates(both[k], both[200 + k : 201 + k])] for k in range(200)]).T
+        share = common / (2 * n - common)
+        assert abs(got.mean() - share) < 0.03 and (share - at_most > minhash.SLACK).mean() <= 0.005 and (got - share > 0.2).mean() <= 0.03
+
+
+def test_buckets_of_several_documents_at_any_batching():
+    r = np.random.default_rng(13)
+    rows = sorted({(int(b), int(d)) for b, d in zip(r.integers(0, 400, 900), r.integers(0, 50, 900))})
+    rows = sorted([*rows, *rows[:100], *((1000, d) for d in range(40))])
+    want = defaultdict(set)
+    for b, d in rows:
+        want[b].add(d)
+    want = {b: d for b, d in want.items() if len(d) > 1}
+    told = None
+    for size in (1, 3, 64, 5000):
+        batches = [pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows[i : i + size]], pa.int64()) for k in (0, 1)], names=["band", "doc_id"]) for i in range(0, len(rows), size)]
+        got, who = defaultdict(list), {}
+        for out in minhash._buckets(iter(batches)):
+            for x in out.to_pylist():
+                if x["doc_id"] is None:
+                    assert x["band"] not in who
+                    who[x["band"]] = x["who"]
+                else:
+                    got[x["band"]].append(x["doc_id"])
+        assert {b: set(d) for b, d in got.items()} == want and all(len(d) == len(set(d)) for d in got.values()) and set(who) == set(want)
+        assert told in (None, who)
+        told = who
+    by = defaultdict(set)
+    for b, w in who.items():
+        by[w].add(frozenset(want[b]))
+    assert all(len(x) == 1 for x in by.values())
+
+
 def test_short_near_copies_reach_verification():
     """Pairs at Jaccard similarity 0.5 of few shingles pass the estimate."""
     r = np.random.default_rng(7)
@@ -212,9 +253,8 @@ def test_short_near_copies_reach_verification():
             one = r.integers(0, 1 << 63, n, np.int64).astype(np.uint64) * np.uint64(2)
             two = np.concatenate([one[: 2 * n // 3], r.integers(0, 1 << 63, n - 2 * n // 3, np.int64).astype(np.uint64) * np.uint64(2)])
             both, counts = np.concatenate([one, two]), np.array([n, n])
-            full = minhash.slack(np.array(minhash.REGISTERS))
-            more = minhash.slack(minhash.full_registers(both, counts)) - full
-            passed += len(minhash.bucket_edges(np.array([1, 2]), minhash.registers(both, counts), 0.5 - full, 0.7, more)[0])
+            regs = minhash.fold(*minhash.own_registers(both, counts))
+            passed += len(minhash.bucket_edges(np.array([1, 2]), regs, 0.5 - minhash.SLACK, 0.7, minhash.folded_estimates)[0])
         assert passed >= 298
 
 

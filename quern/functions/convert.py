@@ -28,6 +28,19 @@ class Converter:
         return self.pattern.sub(lambda m: self.to[m.group()], text) if self.pattern else text
 
 
+def read_pairs(paths: list[str]) -> list[tuple[str, str]]:
+    """Pairs of dictionary files: on each line a phrase, a tab and what it becomes, of which the first of several
+    words counts. Blank lines and lines that start with # are skipped. Of one phrase the first pair holds."""
+    pairs = []
+    for path in paths:
+        with open(path, encoding="utf-8-sig") as lines:
+            for line in lines:
+                source, tab, target = line.rstrip("\n").partition("\t")
+                if tab and source and not line.startswith("#"):
+                    pairs.append((source, (target.split() or [""])[0]))
+    return pairs
+
+
 def seed(direction: str) -> Converter:
     """``tw``: to traditional, ``cn``: to simplified."""
     if direction not in ("tw", "cn"):

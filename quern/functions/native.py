@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quern.functions.markup import ENTITIES
 
-_SPACE = r"[\s\x1c-\x1f]"
+#: What Python's ``str.strip`` takes for blank.
+_BLANKS = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def replace(c: Column, pattern: str, to: str = "") -> Column:
@@ -22,13 +25,23 @@ def chain(c: Column, *rules: tuple[str, str]) -> Column:
 
 def strip(c: Column) -> Column:
     """Trims what Python's ``str.strip`` does."""
-    return replace(c, rf"(?U)\A{_SPACE}+|{_SPACE}+\z")
+    return F.trim(c, F.lit(_BLANKS))
 
 
 def count(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
+def matched(c: Column, pattern: str) -> Column:
+    """Characters that the matches of ``pattern`` hold together."""
+    return F.length(c) - F.length(replace(c, pattern))
+
+
+def has(c: Column, *parts: str) -> Column:
+    """Whether any of the parts stands in the text; a cheap guard before a pattern that needs it."""
+    return reduce(lambda a, b: a | b, [F.contains(c, F.lit(p)) for p in parts])
+
+
 def decode_entities(c: Column) -> Column:
     for entity, char in ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))

@@ -57,13 +57,13 @@ _FIELDS = Rules(
 )
 
 _MATCH_WORDS = ("小組賽 分組賽 預賽 淘汰賽 復活賽 半決賽 銅牌賽 決賽", "小组赛 分组赛 预赛 淘汰赛 复活赛 半决赛 铜牌赛 决赛")
-_LIFE_SHARED = "date of 居住地 出生地 信仰 配偶 父母 子女 母校 任期 前任 出生"
+_LIFE_SHARED = "居住地 出生地 信仰 配偶 父母 子女 母校 任期 前任 出生"
 _LIFE_WORDS = (_LIFE_SHARED + " 國籍 學校 學歷 政黨 畢業院校 繼任 職業", _LIFE_SHARED + " 国籍 学校 学历 政党 毕业院校 继任 职业")
 
 
 def _any(words: str) -> str:
     """Alternatives, longest first where one starts another."""
-    return "(?:" + "|".join(sorted((w.replace(" ", " ") for w in words.split(" ")), key=len, reverse=True)) + ")"
+    return "(?:" + "|".join(sorted(words.split(), key=len, reverse=True)) + ")"
 
 
 _MARKS = Rules((r"(?<!\d)\.(?!\d)", ""), ("[" + re.escape("@#$%^&*=|~`<>") + "]", ""), (r"\s+", " "))
@@ -82,7 +82,7 @@ _RESIDUE = Rules(
     (rf"(?:[{_WORDS}]+\s+\d+\s+){{2,}}", ""),
     ("[—_=\\-]{3,}", ""),
     *delete(_any(words) + "[^。]*" for words in _MATCH_WORDS),
-    *delete(_any(words) + "[^。]{0,30}。" for words in _LIFE_WORDS),
+    *delete(f"(?:date of|{_any(words)})[^。]{{0,30}}。" for words in _LIFE_WORDS),
     (rf"stat\s+[0-9{_WORDS}]+", ""),
     (f"{OPEN}[^{HAN_COMMON}]{{1,20}}{CLOSE}", ""),
     (rf"{OPEN}[,、，\s及和與或]{{1,5}}{CLOSE}", ""),

@@ -16,19 +16,32 @@ _TEMPLATE = re.compile(r"\{{2}(?!lang|link-" + _CODE + r").*?\}{2}")
 _SURROGATE = re.compile("[\ud800-\udfff]")
 
 
+def _each_span(pattern: re.Pattern[str], to: object, text: str) -> str:
+    """Replace the first match by ``to(match)``, again and again, until there is none.
+
+    What is put in can only join with the character before it to a new opening, so the search goes on from there and
+    text further back is done with.
+    """
+    done: list[str] = []
+    while m := pattern.search(text):
+        back = max(0, m.start() - 1)
+        done.append(text[:back])
+        text = text[back : m.start()] + to(m) + text[m.end() :]
+    return "".join(done) + text
+
+
+def _variant(m: re.Match[str]) -> str:
+    inner = m.group().replace(" ", "")
+    named = _MAINLAND.match(inner)
+    if named:
+        return named.group(1)
+    inner = inner[2:-2]
+    return "" if "zh-cn" in inner or "zh-hans" in inner else inner
+
+
 def resolve_variants(text: str) -> str:
     """Keep the mainland form of each ``-{...}-``, or its content where it names no variant."""
-    while m := _VARIANT.search(text):
-        inner = m.group().replace(" ", "")
-        named = _MAINLAND.match(inner)
-        if named:
-            inner = named.group(1)
-        else:
-            inner = inner[2:-2]
-            if "zh-cn" in inner or "zh-hans" in inner:
-                inner = ""
-        text = text[: m.start()] + inner + text[m.end() :]
-    return text
+    return _each_span(_VARIANT, _variant, text)
 
 
 def resolve_templates(text: str) -> str:
@@ -39,9 +52,7 @@ def resolve_templates(text: str) -> str:
 
 
 def _drop_templates(line: str) -> str:
-    while m := _TEMPLATE.search(line):  # a removal can bring a new pair of braces together
-        line = line[: m.start()] + line[m.end() :]
-    return line
+    return _each_span(_TEMPLATE, lambda m: "", line)  # a removal can bring a new pair of braces together
 
 
 def _balanced(text: str, opening: str, closing: str, keep: object) -> str:

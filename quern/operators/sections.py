@@ -32,7 +32,9 @@ def sections_column(value: Column) -> Column:
     """
     lines = F.split(value, "\n", -1)
     head = rf"(?U)(?d)\A({MARK})\s*(.+)"
-    parsed = F.transform(lines, lambda line, i: F.struct(i.alias("at"), F.length(F.regexp_extract(line, head, 1)).alias("level"), strip(replace(F.regexp_extract(line, head, 2), OUTLINE)).alias("title")))
+    # patterns are tried on lines that start with a mark only
+    marked = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("at"), line.alias("line"))), lambda x: F.startswith(x["line"], F.lit("#")))
+    parsed = F.transform(marked, lambda x: F.struct(x["at"].alias("at"), F.length(F.regexp_extract(x["line"], head, 1)).alias("level"), strip(replace(F.regexp_extract(x["line"], head, 2), OUTLINE)).alias("title")))
     heads = F.filter(parsed, lambda h: h["level"] > 0)
     empty = F.struct(F.array().cast("array<string>").alias("stack"), F.array().cast("array<string>").alias("paths"))
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.schema import FETCH
+from quern.sources.sinks import file_system
 
 #: transport(url, timeout) -> (status, body)
 Transport = Callable[[str, float], tuple[int, bytes]]
@@ -25,21 +25,31 @@ def wanted(images: DataFrame) -> DataFrame:
 
 def not_yet_fetched(rows: DataFrame, present: DataFrame) -> DataFrame:
     """Rows whose ``file_name`` is not in ``present`` (a listing with that column)."""
-    return rows.join(present.select("file_name").distinct(), "file_name", "left_anti")
+    return rows.join(present.select("file_name"), "file_name", "left_anti")
 
 
 def available_locally(rows: DataFrame, present: DataFrame) -> DataFrame:
-    return rows.join(present.select("file_name").distinct(), "file_name", "left_semi")
+    return rows.join(present.select("file_name"), "file_name", "left_semi")
+
+
+def _there(system: object, path: str) -> bool:
+    return system.get_file_info(path).is_file
 
 
 def fetch_one(url: str, name: str, folder: str, transport: Transport, reuse: str | None = None, tries: int = 3, timeout: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> tuple[str, str, str | None]:
-    """(file_name, status, error); status is exists, copied, success or fail."""
-    target = os.path.join(folder, name)
-    if os.path.exists(target):
+    """(file_name, status, error); status is exists, copied, success or fail. Folders may be on any file system."""
+    from pyarrow import fs
+
+    system, root = file_system(folder)
+    if _there(system, target := f"{root}/{name}"):
         return name, "exists", None
-    if reuse and os.path.exists(old := os.path.join(reuse, name)):
-        shutil.copyfile(old, target)
-        return name, "copied", None
+    partial = f"{root}/.{name.replace('/', '-')}-{uuid.uuid4().hex}"
+    if reuse:
+        old_system, old_root = file_system(reuse)
+        if _there(old_system, old := f"{old_root}/{name}"):
+            fs.copy_files(old, partial, source_filesystem=old_system, destination_filesystem=system)
+            system.move(partial, target)
+            return name, "copied", None
     error = "no attempt"
     for attempt in range(tries):
         try:
@@ -47,10 +57,9 @@ def fetch_one(url: str, name: str, folder: str, transport: Transport, reuse: str
         except OSError as e:
             status, body, error = 0, b"", str(e)
         if status == 200:
-            partial = f"{target}.{os.getpid()}.part"
-            with open(partial, "wb") as out:
+            with system.open_output_stream(partial) as out:
                 out.write(body)
-            os.replace(partial, target)
+            system.move(partial, target)
             return name, "success", None
         if status:
             error = f"HTTP {status}"
@@ -66,7 +75,8 @@ def fetch(images: DataFrame, folder: str, transport: Transport, reuse: str | Non
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
+        system, root = file_system(folder)
+        system.create_dir(root, recursive=True)
         for batch in batches:
             yield pd.DataFrame([fetch_one(u, n, folder, transport, reuse, sleep=sleep) for u, n in zip(batch["url"], batch["file_name"])], columns=["file_name", "status", "error"])
 

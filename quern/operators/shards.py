@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 MEBIBYTE = 1024 * 1024
 
 
-def json_line(*names: str) -> Column:
-    """A record as one JSON line, nulls written, with ``", "`` and ``": "`` between items."""
+def _json(names: tuple[str, ...], opening: str, between: str, closing: str) -> Column:
     parts: list[Column] = []
     for k, name in enumerate(names):
         value = F.substring(F.to_json(F.struct(F.col(name).alias("v")), {"ignoreNullFields": "false"}), 6, 1 << 30)
-        parts += [F.lit(("{" if not k else ", ") + f'"{name}": '), F.substring(value, F.lit(1), F.length(value) - 1)]
-    return F.concat(*parts, F.lit("}"))
+        parts += [F.lit((between if k else opening) + f'"{name}": '), F.substring(value, F.lit(1), F.length(value) - 1)]
+    return F.concat(*parts, F.lit(closing))
+
+
+def json_line(*names: str) -> Column:
+    """A record as one JSON line, nulls written, with ``", "`` and ``": "`` between items."""
+    return _json(names, "{", ", ", "}")
+
+
+def json_item(*names: str) -> Column:
+    """A record as an item of an array that is indented by two blanks."""
+    return _json(names, "  {\n    ", ",\n    ", "\n  }")
 
 
 def assign_parts(rows: DataFrame, order: list[str], size: str, most: int, overhead: int = 0, close_after: bool = False) -> DataFrame:

@@ -11,22 +11,25 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string  # noqa: PLC2701
 
 
-def text_column(fn: Callable[..., object], kind: str, *columns: Column) -> Column:
+def text_column(fn: Callable[..., object], kind: str, *columns: Column, faults: bool = False) -> Column:
     """``fn`` applied to the values of ``columns``; a null in the first one gives null.
 
-    A row on which ``fn`` raises gives null: one malformed text does not fail a job.
+    A row on which ``fn`` raises gives null: one malformed text does not fail a job. With ``faults`` the column is
+    struct(value, fault), and ``fault`` says what was raised.
     """
     from pyspark.sql import SparkSession
 
+    kind = f"struct<value:{kind},fault:string>" if faults else kind
     arrow = to_arrow_type(_parse_datatype_string(kind)) if SparkSession.getActiveSession() else None
 
     def one(args: tuple) -> object:
-        if args[0] is None:
-            return None
-        try:
-            return fn(*args)
-        except (ValueError, IndexError, RecursionError):
-            return None
+        value = fault = None
+        if args[0] is not None:
+            try:
+                value = fn(*args)
+            except Exception as e:  # noqa: BLE001  whatever a text sets off is that text's fault
+                fault = f"{type(e).__name__}: {e}"[:500]
+        return {"value": value, "fault": fault} if faults else value
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:

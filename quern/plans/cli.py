@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.convert import read_pairs
+from quern.operators.records import gated_records, prepare_documents, section_records
 from quern.plans import datasets
-from quern.runtime import prepare
+from quern.runtime import Workspace, prepare
 from quern.sources import files, sinks
 
 TASKS = ("pretrain-dataset", "image-dataset", "to-md", "to-pretrain", "extract-images", "download", "download-images", "generate-all")
@@ -30,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-length", type=int, default=10)
     p.add_argument("--keywords", nargs="*")
     p.add_argument("--no-conversion", action="store_true")
+    p.add_argument("--conversion-table", nargs="+", help="files of phrase, tab, what it becomes (the first of several counts); instead of the built-in seed")
     p.add_argument("--max-mb", type=int, default=500)
     return p
 
@@ -77,20 +80,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     spark = prepare(spark or SparkSession.builder.appName("quern").getOrCreate())
     lang = None if args.no_conversion else args.lang
     limit = args.max_mb * sinks.MEBIBYTE
-
-    def save_text(records: object) -> list[str]:
-        numbered = records.withColumn("ord", F.xxhash64("source_file", "title", "text"))
-        rows = sinks.write_json_arrays(numbered.dropDuplicates(["source_file", "ord"]), f"{args.out}/{args.lang}", "text", ["source_file", "ord"], limit, ["title", "text", "source_file"])
-        return [r.file for r in rows.collect()]  # one row a file
+    pairs = read_pairs(args.conversion_table) if args.conversion_table else None
+
+    def save_text(docs: DataFrame, **options: object) -> list[str]:
+        """Records in the order of documents and sections; what no rule could handle is counted and listed beside them."""
+        with Workspace(spark, "cli") as ws:
+            ready = ws.save(prepare_documents(docs, lang, pairs), "documents")
+            rows = ws.save(section_records(ready).withColumn("row", F.monotonically_increasing_id()), "sections")
+            kept = ws.save(gated_records(rows, **options), "records")
+            order = ["source_file", "section_no", "row"]  # two documents may share a name; stored rows keep their number
+            written = sinks.write_json_arrays(kept, f"{args.out}/{args.lang}", "text", order, limit, ["title", "text", "source_file"]).collect()  # one row a file
+            faults = ready.filter("fault is not null").select("source_file", F.lit(None).cast("int").alias("section_no"), "fault").unionAll(rows.filter("fault is not null").select("source_file", "section_no", "fault"))
+            if n := faults.count():
+                faults.write.mode("overwrite").json(f"{args.out}/{args.lang}_faults")
+                print(f"{n} texts were left out; see {args.out}/{args.lang}_faults")
+            return [r.file for r in written]
 
     def save_images(images: object) -> list[str]:
         rows = sinks.write_json_lines(images, f"{args.out}/{args.lang}", "images_", ["file_name"], limit, True, ["url", "title", "file_name", "page", "tag"])
         return [r.file for r in rows.collect()]
 
     if args.task == "generate-all":
-        return sorted(datasets.generate_all(spark, _need(args, "xml_path"), args.out).values())
+        return sorted(datasets.generate_all(spark, _need(args, "xml_path"), args.out, pairs={args.lang: pairs} if pairs else None).values())
     if args.task in ("image-dataset", "extract-images"):
-        return save_images(datasets.image_dataset(spark, _need(args, "xml_path"), lang, args.max_images))
+        return save_images(datasets.image_dataset(spark, _need(args, "xml_path"), lang, args.max_images, pairs=pairs))
     if args.task == "download-images":
         from quern.operators import fetch
 
@@ -103,10 +116,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         return [path]
     options = {"min_length": args.min_length, "keywords": args.keywords}
     if args.task == "to-pretrain" or args.md_dir:
-        from quern.operators.records import text_records
-
-        return save_text(text_records(files.read_markdown(spark, _need(args, "md_dir"), args.max_files), lang, **options))
-    return save_text(datasets.text_dataset(datasets.markdown_of_dump(spark, _need(args, "xml_path")), lang, **options))
+        return save_text(files.read_markdown(spark, _need(args, "md_dir"), args.max_files), **options)
+    return save_text(datasets.as_documents(datasets.markdown_of_dump(spark, _need(args, "xml_path"))), **options)
 
 
 if __name__ == "__main__":

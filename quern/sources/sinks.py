@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import shutil
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -12,33 +13,45 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.shards import MEBIBYTE, assign_parts, json_line
+from quern.operators.shards import MEBIBYTE, assign_parts, json_item, json_line
+
+
+def file_system(folder: str) -> tuple[object, str]:
+    """(file system, path in it) of a folder, by its scheme: a local path, file:, hdfs:, s3: and what else pyarrow knows."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
 
 
 def _write_parts(numbered: DataFrame, folder: str, stem: str, suffix: str, as_array: bool) -> DataFrame:
-    """One file for each part, by the task that holds it, lines in order; gives (part_no, file, records)."""
+    """One file for each part, by the task that holds it, lines in order; gives (part_no, file, records).
+
+    A file is written under another name and then moved, so that a task may run again.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, part, records, path = None, None, 0, ""
+        system, root = file_system(folder)
+        out, part, records, partial = None, None, 0, ""
 
         def close() -> pd.DataFrame:
             if as_array:
-                out.write("\n]\n")
+                out.write(b"\n]")
             out.close()
-            os.replace(f"{path}.partial", path)
-            return pd.DataFrame({"part_no": [part], "file": [path], "records": [records]})
+            name = f"{stem}{part}{suffix}"
+            system.move(partial, f"{root}/{name}")
+            return pd.DataFrame({"part_no": [part], "file": [f"{folder.rstrip('/')}/{name}"], "records": [records]})
 
-        os.makedirs(folder, exist_ok=True)
+        system.create_dir(root, recursive=True)
         for batch in batches:
             for number, line in zip(batch["part_no"], batch["line"]):
                 if number != part:
                     if out is not None:
                         yield close()
                     part, records = number, 0
-                    path = os.path.join(folder, f"{stem}{number}{suffix}")
-                    out = open(f"{path}.partial", "w", encoding="utf-8")  # noqa: SIM115
-                    out.write("[\n" if as_array else "")
-                out.write((",\n" if as_array and records else "") + line + ("" if as_array else "\n"))
+                    partial = f"{root}/.{stem}{number}{suffix}-{uuid.uuid4().hex}"
+                    out = system.open_output_stream(partial)
+                    out.write(b"[\n" if as_array else b"")
+                out.write(((",\n" if as_array and records else "") + line + ("" if as_array else "\n")).encode())
                 records += 1
         if out is not None:
             yield close()
@@ -59,9 +72,12 @@ def write_json_lines(rows: DataFrame, folder: str, stem: str, order: list[str],
 
 
 def write_json_arrays(rows: DataFrame, folder: str, stem: str, order: list[str], most: int = 500 * MEBIBYTE, fields: list[str] | None = None) -> DataFrame:
-    """``<stem>_part<n>.json`` files, each one JSON array; a record counts 10 bytes for its layout."""
+    """``<stem>_part<n>.json`` files, each one JSON array indented by two blanks.
+
+    A record counts as many bytes as its line has, and 10 for its layout where it may start a file.
+    """
     named = fields or rows.columns
-    lined = rows.withColumn("line", json_line(*named)).withColumn("__bytes", F.octet_length("line"))
+    lined = rows.withColumn("line", json_item(*named)).withColumn("__bytes", F.octet_length(json_line(*named)))
     numbered = assign_parts(lined, order, "__bytes", most, overhead=10)
     return _write_parts(numbered.repartition("part_no").sortWithinPartitions("part_no", *order).select("part_no", "line"), folder, f"{stem}_part", ".json", True)
 
@@ -70,14 +86,16 @@ def export_pages(markdown: DataFrame, folder: str, suffix: str = ".md") -> DataF
     """One file a page, ``<page_id>.md``, for tools that want files; gives (page_id, file)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
+        system, root = file_system(folder)
+        system.create_dir(root, recursive=True)
         for batch in batches:
             files = []
             for page, text in zip(batch["page_id"], batch["md"]):
-                path = os.path.join(folder, f"{page}{suffix}")
-                Path(f"{path}.partial").write_text(text, encoding="utf-8")
-                os.replace(f"{path}.partial", path)
-                files.append(path)
+                partial = f"{root}/.{page}{suffix}-{uuid.uuid4().hex}"
+                with system.open_output_stream(partial) as out:
+                    out.write(text.encode())
+                system.move(partial, f"{root}/{page}{suffix}")
+                files.append(f"{folder.rstrip('/')}/{page}{suffix}")
             yield pd.DataFrame({"page_id": batch["page_id"], "file": files})
 
     return markdown.select("page_id", "md").mapInPandas(run, "page_id string, file string")

@@ -149,6 +149,9 @@ def test_json_sinks(spark, tmp_path):
     assert lines[0] == {"title": '引"號', "page": None} and len(lines) == 3 and sum(r.records for r in got) == 3
     arrays = sinks.write_json_arrays(df, str(tmp_path), "arr", ["i"], 50, ["title", "page"]).orderBy("part_no").collect()
     assert [x["title"] for r in arrays for x in json.load(open(r.file, encoding="utf-8"))] == ['引"號', "二", "三"]
+    one = sinks.write_json_arrays(df, f"file://{tmp_path}/deep/er", "arr", ["i"], 5000, ["title", "page"]).first()
+    whole = [{"title": '引"號', "page": None}, {"title": "二", "page": "x"}, {"title": "三", "page": "y"}]
+    assert open(one.file.removeprefix("file://"), encoding="utf-8").read() == json.dumps(whole, ensure_ascii=False, indent=2)
     assert sinks.write_json_lines(df.filter("false"), str(tmp_path), "none_", ["i"]).count() == 0
     line = df.filter("i = 1").select(shards.json_line("title", "page")).first()[0]
     assert line == json.dumps({"title": '引"號', "page": None}, ensure_ascii=False)
@@ -224,6 +227,47 @@ def test_cli(spark, dump_path, tmp_path):
         cli.main(["to-md"], spark)
 
 
+def test_cli_keeps_order_and_repeats(spark, tmp_path):
+    """Sections stay in the order of their documents, and equal sections are as many records as they are."""
+    (tmp_path / "in" / "sub").mkdir(parents=True)
+    other = LONG.replace("一", "二") + "另外一句話。"
+    (tmp_path / "in" / "b.md").write_text(f"# 頭\n{LONG}\n## 乙\n{other}\n## 甲\n{LONG}\n# 頭\n{LONG}", encoding="utf-8")
+    (tmp_path / "in" / "a.md").write_text(f"# 頭\n{LONG}", encoding="utf-8")
+    (tmp_path / "in" / "sub" / "a.md").write_text(f"# 頭\n{LONG}", encoding="utf-8")
+    out = cli.main(["to-pretrain", "--md-dir", str(tmp_path / "in"), "--out", str(tmp_path / "o"), "--no-conversion"], spark)
+    found = [(r["source_file"], r["title"]) for r in json.load(open(out[0], encoding="utf-8"))]
+    assert found == [("a.md", "頭"), ("a.md", "頭"), ("b.md", "頭"), ("b.md", "頭-乙"), ("b.md", "頭-甲"), ("b.md", "頭")]
+
+
+def test_faults_are_told(spark, monkeypatch, tmp_path):
+    docs = spark.createDataFrame([("a.md", f"# 頭\n{LONG}"), ("b.md", None), ("c.md", "bad"), ("d.md", f"# 頭\n{LONG}\n## 次\n{LONG} worse")], "source_file string, value string")
+
+    def fails(mark, fn):
+        def run(text):
+            if mark in text:
+                raise TypeError(mark)
+            return fn(text)
+
+        return run
+
+    monkeypatch.setattr(records, "clean_markdown", fails("bad", records.clean_markdown))
+    monkeypatch.setattr(records, "markdown_to_text", fails("worse", records.markdown_to_text))
+    ready = records.prepare_documents(docs, None)
+    assert {(r.source_file, r.fault) for r in ready.collect() if r.fault} == {("c.md", "TypeError: bad")}
+    rows = records.section_records(ready)
+    assert {(r.source_file, r.section_no, r.fault) for r in rows.collect() if r.fault} == {("d.md", 2, "TypeError: worse")}
+    assert sorted(r.source_file for r in records.gated_records(rows).collect()) == ["a.md", "d.md"]
+
+
+def test_conversion_tables(tmp_path):
+    from quern.functions.convert import Converter, read_pairs
+
+    (tmp_path / "a.txt").write_text("\ufeff# note\n头发\t頭髮\n\n发\t發 髮\n空\t\n", encoding="utf-8")
+    (tmp_path / "b.txt").write_text("发\t髮\n", encoding="utf-8")
+    convert = Converter(read_pairs([str(tmp_path / "a.txt"), str(tmp_path / "b.txt")]))
+    assert convert("头发发空x") == "頭髮發x"
+
+
 def test_stream_of_markdown(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -1,7 +1,9 @@
 """Named queries over the given tables and the SQL that each is held against.
 
 The tables hold no wiki markup and no Han text, so most queries first build markup from whole columns,
-by the same concatenation in both engines.
+by the same concatenation in both engines. Where a chain of many rules is applied, texts are first reduced to lines of
+plain words, or of Han characters letter by letter, which no rule changes: what the rules do to the markup put between
+them then has a closed form.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from quern.functions import native
 from quern.functions.captions import caption_of, convert_units, find_file_tags
 from quern.functions.convert import seed, space_scripts
+from quern.functions.markup import clean_markdown, markdown_to_text
 from quern.functions.wikitext import page_to_markdown
 from quern.operators import fetch, images, pages, quality, records, sections, shards
 from quern.operators.udf import text_column
@@ -81,35 +84,79 @@ def local_copies_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetch.available_locally(rows, read_table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("file_name")))
 
 
+# ---- texts that rules leave alone ---------------------------------------------------------------
+
+_HAN_LETTERS = "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往秋收冬藏閏餘"
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: Lines of words, of Han words with blanks between them, and of Han characters alone, in SQL.
+_WORDS_SQL = "trim(regexp_replace(regexp_replace(text, '[^A-Za-z\\n]+', ' ', 'g'), ' *\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))"
+_SPACED_SQL = f"translate(lower({_WORDS_SQL}), '{_LETTERS}', '{_HAN_LETTERS}')"
+_HAN_SQL = f"replace({_SPACED_SQL}, ' ', '')"
+
+
+def _words() -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z\n]+", " "), " *\n[ \n]*", "\n"), F.lit(" \n"))
+
+
+def _spaced() -> Column:
+    return F.translate(F.lower(_words()), _LETTERS, _HAN_LETTERS)
+
+
+def _han() -> Column:
+    return F.replace(_spaced(), F.lit(" "), F.lit(""))
+
+
+def _swap(c: Column, blank: str, line: str) -> Column:
+    """``blank`` for blanks and ``line`` for line ends."""
+    return F.replace(F.replace(c, F.lit(" "), F.lit(blank)), F.lit("\n"), F.lit(line))
+
+
+def _swap_sql(c: str, blank: str, line: str) -> str:
+    return f"replace(replace({c}, ' ', '{blank}'), chr(10), '{line}')"
+
+
 # ---- wikitext and markup ------------------------------------------------------------------------
 
 
+def _cleaned(spark: SparkSession, sf_dir: str, *parts: str | Column) -> DataFrame:
+    return _marked(spark, sf_dir, *parts).select("doc_id", text_column(clean_markdown, "string", F.col("text")).alias("text"))
+
+
+def _plain_text(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", text_column(markdown_to_text, "string", value).alias("text"))
+
+
+def _normal_text(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", records.normalized(value)["text"].alias("text"))
+
+
 def _marked(spark: SparkSession, sf_dir: str, *parts: str | Column) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("text"))
 
 
-@query("select doc_id, source || ' and ' || lang || ' ' || text as text from documents")
+@query(f"select doc_id, source || ' and ' || lang || ' ' || {_WORDS_SQL} as text from documents")
 def link_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _marked(spark, sf_dir, "[[", F.col("source"), "]] and [[", F.col("source"), "|", F.col("lang"), "]] ", F.col("text"))
-    return rows.select("doc_id", native.unwrap_links(F.col("text")).alias("text"))
+    return _cleaned(spark, sf_dir, "[[", F.col("source"), "]] and [[", F.col("source"), "|", F.col("lang"), "]] ", _words())
 
 
-@query("select doc_id, text || ' end' as text from documents")
+@query(f"select doc_id, {_WORDS_SQL} || ' end' as text from documents")
 def template_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _marked(spark, sf_dir, "{{box|", F.col("source"), "\n}}", F.col("text"), "{{cite|", F.col("lang"), "}} end")
-    return rows.select("doc_id", native.strip_templates(F.col("text")).alias("text"))
+    return _cleaned(spark, sf_dir, "{{box|", F.col("source"), "\n}}", _words(), "{{cite|", F.col("lang"), "}} end")
 
 
-@query("select doc_id, text || '|' || source as text from documents")
+@query(f"select doc_id, ':' || {_WORDS_SQL} || '|' || source as text from documents")
 def table_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _marked(spark, sf_dir, ":{| class\n| ", F.col("lang"), "\n|}", F.col("text"), "|", F.col("source"))
-    return rows.select("doc_id", native.strip_tables(F.col("text")).alias("text"))
+    return _cleaned(spark, sf_dir, ":{| class\n| ", F.col("lang"), "\n|}", _words(), "|", F.col("source"))
 
 
-@query("select doc_id, text || '.' as text from documents")
+@query(f"select doc_id, {_WORDS_SQL} || '.' as text from documents")
 def ref_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _marked(spark, sf_dir, "<ref name='", F.col("lang"), "'>", F.col("source"), "\n</ref>", F.col("text"), '<ref name="x"/>', ".")
-    return rows.select("doc_id", native.strip_references(F.col("text")).alias("text"))
+    return _cleaned(spark, sf_dir, "<ref name='", F.col("lang"), "'>", F.col("source"), "\n</ref>", _words(), '<ref name="x"/>', ".")
+
+
+@query(f"select doc_id, {_swap_sql(_WORDS_SQL, '<', '—')} as text from documents")
+def entity_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_text(spark, sf_dir, _swap(_words(), "&lt;", "&mdash;"))
 
 
 _DECODED = "html"
@@ -117,11 +164,6 @@ for _entity, _char in zip("&lt; &gt; &amp; &quot; &apos; &nbsp; &#39; &mdash; &n
     _DECODED = f"replace({_DECODED}, '{_entity}', '{_char}')"
 
 
-@query(f"select page_id, {_DECODED} as text from pages")
-def entity_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "pages").select("page_id", native.decode_entities(F.col("html")).alias("text"))
-
-
 _BARE = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
 
 
@@ -130,49 +172,48 @@ def strip_html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages").select("page_id", native.strip_html(F.col("html")).alias("text"))
 
 
-_LISTED = "replace(html, '<li>', chr(10) || '* ')"
-
-
-@query(f"""
-select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_LISTED},
-    '(?m)^[ \\t\\n]*[*+-][ \\t\\n]+([^\\n]*?)[ \\t]*$', '、\\1', 'g'), '(?m)^[ \\t\\n]*[0-9]+\\.[ \\t\\n]+([^\\n]*?)[ \\t]*$', '、\\1', 'g'),
-    '([^\\n])\\n、', '\\1 •', 'g'), '(?m)^[ \\t\\n]*、', '', 'g') as text from pages
-""")
+@query(f"select doc_id, replace({_WORDS_SQL}, chr(10), ' •') as text from documents")
 def list_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = F.replace(F.col("html"), F.lit("<li>"), F.lit("\n* "))
-    return read_table(spark, sf_dir, "pages").select("page_id", native.flatten_lists(listed).alias("text"))
+    return _plain_text(spark, sf_dir, F.concat(F.lit("* "), F.replace(_words(), F.lit("\n"), F.lit("\n* "))))
 
 
-@query("select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[,，]{2,}', '，', 'g'), '[.。]{2,}', '。', 'g'), '[;；]{2,}', '；', 'g'), '[!！]{2,}', '！', 'g'), '[?？]{2,}', '？', 'g') as text from documents")
+@query(f"select doc_id, {_swap_sql(_WORDS_SQL, '，', '。')} as text from documents")
 def punct_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", native.collapse_punctuation(F.col("text")).alias("text"))
+    return _plain_text(spark, sf_dir, _swap(_words(), ",，", "..。"))
+
 
+def _ended(text: str) -> str:
+    """A body of two characters or more, in SQL, with a full stop at its end."""
+    return f"case when length({text}) < 2 then '' else {text} || '。' end"
 
-@query("select doc_id, trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ') as text from documents")
+
+@query(f"select doc_id, {_ended(_swap_sql(_SPACED_SQL, ' ', ' '))} as text from documents")
 def whitespace_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", native.collapse_space(F.col("text")).alias("text"))
+    return _normal_text(spark, sf_dir, _swap(_spaced(), " \t  ", "\t"))
 
 
-@query("select doc_id, regexp_replace(replace(replace(text, '.', '。。'), '!', '！'), '(。)+|(！)+', '\\1\\2', 'g') as text from documents")
+@query(f"select doc_id, {_ended(_swap_sql(_SPACED_SQL, '。', '！'))} as text from documents")
 def backref_dedupe_punct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = F.replace(F.replace(F.col("text"), F.lit("."), F.lit("。。")), F.lit("!"), F.lit("！"))
-    return _docs(spark, sf_dir).select("doc_id", native.dedupe_stops(marked).alias("text"))
+    return _normal_text(spark, sf_dir, _swap(_spaced(), "。。。", "！！"))
 
 
-@query("""
-select doc_id, string_agg(c, '' order by i) filter (c <> '.' or regexp_matches(b, '[0-9]') or regexp_matches(a, '[0-9]')) as text from (
-    select doc_id, i, c, coalesce(lag(c) over w, '') as b, coalesce(lead(c) over w, '') as a from (
-        select doc_id, unnest(string_split(text, '')) as c, unnest(range(length(text))) as i from documents)
-    window w as (partition by doc_id order by i)) group by doc_id
-""")
+@query(f"select doc_id, {_ended(_swap_sql(_SPACED_SQL, '', '3.5'))} as text from documents")
 def dot_between_nondigits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", native.drop_lone_dots(F.col("text")).alias("text"))
+    return _normal_text(spark, sf_dir, _swap(_spaced(), ".", "3.5"))
+
+
+_PAGE_LINES = f"string_split({_WORDS_SQL}, chr(10))"
 
 
-@query()
+@query(f"""
+select doc_id, '# ' || source || nn || source || ' ' || lang || ' link' || nn || nn || '## 1 ' || source || nn || '* ' || lines[1] || chr(10)
+    || array_to_string(list_transform(range(2, len(lines) + 1), lambda i: case when i = 2 then chr(10) else '' end || nn || '### 1.' || (i - 1) || ' part' || nn || lines[i] || nn), '') as md
+from (select *, {_PAGE_LINES} as lines, chr(10) || chr(10) as nn from documents)
+""")
 def wikitext_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a page source with variants, templates, links, headings and lists."""
-    source = F.concat(F.lit("-{zh-hans:"), "source", F.lit(";zh-tw:x}- {{le|a|b|"), "lang", F.lit("}} [["), "source", F.lit("|link]]\n== "), "source", F.lit(" ==\n* "), F.replace("text", F.lit("\n"), F.lit("\n=== part ===\n")))
+    parts = ["-{zh-hans:", "source", ";zh-tw:x}- {{Le|a|b|", "lang", "}} {{box|", "lang", "}}<!-- x -->[[", "source", "|''link'']]<ref>", "lang", "</ref>\n\n\n== ", "source", " ==\n* "]
+    source = F.concat(*[F.col(p) if p in ("source", "lang") else F.lit(p) for p in parts], F.replace(_words(), F.lit("\n"), F.lit("\n=== part ===\n")))
     render = text_column(lambda text, title: page_to_markdown(title, text), "string", source, F.col("source"))
     return _docs(spark, sf_dir).select("doc_id", render.alias("md"))
 
@@ -210,12 +251,15 @@ def stop_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- quality ------------------------------------------------------------------------------------
 
 
-def _measures(text: str) -> str:
+_LATIN_SQL, _HAN_CLASS_SQL = "[A-Za-z\\x{c0}-\\x{24f}]", "[\\x{4e00}-\\x{9fff}]"
+
+
+def _measures(text: str, script: str = _LATIN_SQL) -> str:
     found = lambda p: f"len(regexp_extract_all({text}, '{p}'))"
     return f"""length(trim({text}, {_BLANK})) as n_stripped, length({text}) as n_all,
     {found('[^\\p{L}\\p{M}\\p{N}\\p{Pc}\\s，。！？；：「」『』（）]')} as n_special,
     regexp_matches({text}, '[A-Za-z_]+\\s*=|\\|\\s*[A-Za-z]|\\{{\\{{.*?\\}}\\}}|\\}}\\}}.*?是|##\\s*[0-9]+\\.[0-9]+|blank[0-9]*_|population_|pushpin_|image_|subdivision_|settlement_type') as has_residue,
-    {found('。。')} as n_doubled_stop, {found('，，')} as n_doubled_comma, {found('[0-9]+\\.[0-9]+')} as n_outline, {found('[A-Za-z\\x{c0}-\\x{24f}]')} as n_script,
+    {found('。。')} as n_doubled_stop, {found('，，')} as n_doubled_comma, {found('[0-9]+\\.[0-9]+')} as n_outline, {found(script)} as n_script,
     len(list_filter(regexp_split_to_array({text}, '[。！？]'), lambda p: length(trim(p, {_BLANK})) > 3)) as n_sentences,
     length(array_to_string(regexp_extract_all({text}, '[（(][^）)]*[）)]'), '')) as n_bracketed,
     len(list_filter(string_split({text}, chr(10)), lambda p: length(trim(p, {_BLANK})) = 1)) as n_short_lines"""
@@ -254,18 +298,40 @@ flagship = gated_sections
 # ---- normalisation and conversion ---------------------------------------------------------------
 
 
-@query()
+#: Lines of Han characters, each with an end that the rules reduce to a full stop.
+_LINE_END = "，，（ ）。。"
+_SENTENCES_SQL = f"case when {_HAN_SQL} = '' then '' else replace({_HAN_SQL}, chr(10), '。') || '。' end"
+
+
+def _sentences() -> Column:
+    return F.when(_han() == "", "").otherwise(F.concat(F.replace(_han(), F.lit("\n"), F.lit(f"{_LINE_END}\n")), F.lit(_LINE_END)))
+
+
+@query(f"select doc_id, source as title, {_SENTENCES_SQL} as text from documents")
 def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain text and normalisation of every document, with how much of it goes."""
-    rows = _docs(spark, sf_dir).select("doc_id", F.length("text").alias("n_before"), records.normalized(F.col("text")).alias("normal"))
-    return rows.select("doc_id", "normal.title", "normal.text", (F.col("n_before") - F.length("normal.text")).alias("n_removed"))
+    """Plain text and normalisation of every document; the heading becomes the title."""
+    value = F.concat(F.lit("## "), "source", F.lit("\n"), _sentences())
+    return _docs(spark, sf_dir).select("doc_id", records.normalized(value).alias("normal")).select("doc_id", "normal.title", "normal.text")
+
 
+@query(f"select doc_id, {_measures('s', _HAN_CLASS_SQL)} from (select doc_id, '「' || lang || '」(1.5)' || chr(10) || {_SENTENCES_SQL} as s from documents)")
+def quality_metrics_han(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plain = F.when(_han() == "", "").otherwise(F.concat(F.replace(_han(), F.lit("\n"), F.lit("。")), F.lit("。")))
+    rows = _docs(spark, sf_dir).select("doc_id", F.concat(F.lit("「"), "lang", F.lit("」(1.5)\n"), plain).alias("text"))
+    return quality.with_metrics(rows, gate=quality.HAN).drop("text")
 
-@query()
+
+@query(f"""
+select title, text, source_file from (
+    select *, {_measures('text', _HAN_CLASS_SQL)} from (
+        select '語言 ' || source || '-歷史' as title, {_SENTENCES_SQL} as text, doc_id::varchar || '.md' as source_file,
+            length({_HAN_SQL}) + {len(_LINE_END)} * len(string_split({_HAN_SQL}, chr(10))) as held from documents))
+where held > 20 and {_GATE}
+""")
 def text_record_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole path to records over documents put into Han sentences, with title fallback and gate."""
-    sentence = F.concat(F.lit("# 條目"), "source", F.lit("\n## 歷史\n這是關於「"), "source", F.lit("」的一段歷史敘述，內容足夠長，並且提到了語言「"), "lang", F.lit("」。"), F.regexp_replace("text", r"[^\n.]+", "這句話說明了一個事實"))
-    docs = _docs(spark, sf_dir).select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("source_file"), sentence.alias("value"))
+    """The whole path to records over documents in Han characters, with title fallback and gate."""
+    value = F.concat(F.lit("# 语言"), "source", F.lit("\n## 历史\n"), _sentences())
+    docs = _docs(spark, sf_dir).select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("source_file"), value.alias("value"))
     return records.text_records(docs, "tw")
 
 
@@ -329,6 +395,28 @@ def image_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.image_records(_image_pages(spark, sf_dir), lang=None, prefix="https://example.org/")
 
 
+@query(_FIRST.replace("p_type else ''", "'頭髮' || p_type else ''").replace("|200px|' || case when p_retailprice > 950 then '[[' ||", "|200px|' || case when p_retailprice > 950 then '[[头发' ||"))
+def image_captions_converted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions go to the traditional script; tags stay as they are."""
+    rows = _image_pages(spark, sf_dir).withColumn("text", F.replace("text", F.lit("[["), F.lit("[[头发")))
+    rows = rows.withColumn("text", F.replace("text", F.lit("[[头发File:"), F.lit("[[File:")))
+    return images.image_records(rows, lang="tw", prefix="https://example.org/")
+
+
+@query("select p_partkey, p_size % 3 = 0 or p_size % 5 = 0 as placeholder from part")
+def image_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("p_size") % 3 == 0, "No Free IMAGE ").when(F.col("p_size") % 5 == 0, "no image ").otherwise("an image ")
+    rows = read_table(spark, sf_dir, "part").select("p_partkey", F.concat(name, F.col("p_brand"), F.lit(".png")).alias("file_name"))
+    return rows.select("p_partkey", images.is_placeholder(F.col("file_name")).alias("placeholder"))
+
+
+@query("select distinct 'https://example.org/' || p_size as url, p_brand || '-' || p_size as file_name from part where p_size % 2 = 0")
+def fetch_wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part")
+    url = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("https://example.org/"), F.col("p_size").cast("string")))
+    return fetch.wanted(part.select(url.alias("url"), F.concat(F.lit("image/"), "p_brand", F.lit("-"), F.col("p_size").cast("string")).alias("file_name")))
+
+
 @query(_FIRST + " order by p_partkey limit 25")
 def max_images_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return images.image_records(_image_pages(spark, sf_dir), lang=None, max_images=25, prefix="https://example.org/")
@@ -374,3 +462,10 @@ def shard_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shard_assign_close_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lines(spark, sf_dir).select("c_custkey", native.octets(F.col("line")).alias("size"))
     return shards.assign_parts(rows, ["c_custkey"], "size", 10_000, close_after=True).select("c_custkey", "part_no")
+
+
+@query(_packed("p.held + s.size + 10 > 10000"))
+def array_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of JSON arrays: a record counts 10 bytes more where it may start a part."""
+    rows = _lines(spark, sf_dir).select("c_custkey", native.octets(F.col("line")).alias("size"))
+    return shards.assign_parts(rows, ["c_custkey"], "size", 10_000, overhead=10).select("c_custkey", "part_no")

@@ -9,9 +9,8 @@ def test_query_matches_sql(spark, tiny, name):
     assert rows_of(catalogue.QUERIES[name](spark, tiny)) == expected(database(tiny), catalogue.SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.SQL)))
-def test_other_queries_give_a_row_a_document(spark, tiny, name):
-    assert catalogue.QUERIES[name](spark, tiny).count() == 200
+def test_every_query_has_sql():
+    assert set(catalogue.SQL) == set(catalogue.QUERIES)
 
 
 def test_entry(spark):

@@ -20,15 +20,62 @@ ANY_QUOTE = "\"'“”‘’"
 FLAGS = {"s": re.DOTALL, "m": re.MULTILINE, "i": re.IGNORECASE}
 
 
+#: How much a text that holds a character still says against a match: characters of any prose say little.
+_COMMON = {**dict.fromkeys(" \n", 1000), **dict.fromkeys("，。.,", 30), **dict.fromkeys("-:：；、\"'()（）", 8)}
+
+
+def _needed(tree: Iterable[tuple[object, object]]) -> frozenset[str] | None:
+    """Characters of which every match of a parsed pattern holds at least one; None where there is no such set."""
+    best = None
+    for op, arg in tree:
+        kind, got = str(op), None
+        if kind == "LITERAL":
+            got = frozenset(chr(arg))
+        elif kind == "IN" and all(str(k) == "LITERAL" for k, _ in arg):
+            got = frozenset(chr(c) for _, c in arg)
+        elif kind == "SUBPATTERN" and not arg[1] and not arg[2]:
+            got = _needed(arg[3])
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT") and arg[0] > 0:
+            got = _needed(arg[2])
+        elif kind == "BRANCH":
+            parts = [_needed(branch) for branch in arg[1]]
+            got = frozenset().union(*parts) if all(parts) else None
+        if got and (best is None or _weight(got) < _weight(best)):
+            best = got
+    return best
+
+
+def _weight(chars: frozenset[str]) -> int:
+    return sum(_COMMON.get(c, 300 if c.isascii() and c.isalnum() else 1) for c in chars)
+
+
+def needed(pattern: str, flags: int = 0) -> tuple[str, ...]:
+    """Characters without any of which a text has no match; none where a pattern needs no certain ones."""
+    parser = getattr(re, "_parser", None)  # the standard library's own; without it no pattern is skipped
+    if parser is None or flags & re.IGNORECASE:
+        return ()
+    found = _needed(parser.parse(pattern, flags))
+    return tuple(sorted(found)) if found and len(found) <= 12 else ()
+
+
 class Rules:
-    """A sequence of substitutions."""
+    """A sequence of substitutions; one is tried only on texts that hold a character that its matches need."""
 
     def __init__(self, *rules: tuple[str, ...]):
         self.source = rules
-        self.compiled = [(re.compile(r[0], sum(FLAGS[f] for f in (r[2] if len(r) > 2 else ""))), r[1]) for r in rules]
+        self.compiled = []
+        for pattern, to, *flags in rules:
+            bits = sum(FLAGS[f] for f in "".join(flags))
+            self.compiled.append((re.compile(pattern, bits), to, needed(pattern, bits)))
 
     def __call__(self, text: str) -> str:
-        for pattern, to in self.compiled:
+        for pattern, to, chars in self.compiled:
+            for c in chars:
+                if c in text:
+                    break
+            else:
+                if chars:
+                    continue
             text = pattern.sub(to, text)
         return text
 

@@ -175,3 +175,22 @@ def test_native_rules_match_python_ones(spark):
     for row in rows:
         for k, (_, python) in pairs.items():
             assert row[k] == python(row.t), (k, row.t)
+
+
+def test_rules_are_skipped_only_where_they_cannot_match():
+    from quern.functions import rules
+
+    chains = [markup.CLEAN, markup._PLAIN_HEAD, normalize._PARAGRAPH, normalize._JOINED, normalize._FIELDS, normalize._MARKS, normalize._SPACING, normalize._RESIDUE, wikitext._TABLES, wikitext._INLINE, wikitext._LINES]
+    assert sum(bool(chars) for chain in chains for _, _, chars in chain.compiled) > 100
+    r = random.Random(5)
+    parts = [*"[]{}|<>=#*+-_'\"`()（）「」『』，。；：、！？,.;:!?&$%^~@ \t\n　", "ab ", "Stat 1", "12", "3.5", "一二", "方面，", "可以指", "是", "date of", "出生", "<ref", "/>", "</ref>", "[[", "]]", "File:", "''", "==", "jpg。", "http://x", "\n## ", "{|", "|}", "決賽"]
+    for _ in range(3000):
+        text = "".join(r.choices(parts, k=r.randint(0, 30)))
+        for chain in chains:
+            for pattern, to, chars in chain.compiled:
+                assert not chars or any(c in text for c in chars) or pattern.search(text) is None
+            plain = text
+            for pattern, to, _ in chain.compiled:
+                plain = pattern.sub(to, plain)
+            assert chain(text) == plain
+    assert rules.needed("a+[xy]?(b|[cd])") in (("a",), ("b", "c", "d")) and rules.needed("x*") == () and rules.needed("(?:a|)") == ()

@@ -1,19 +1,20 @@
 """Suffix-array dedup: shard Burrows-Wheeler transforms merged by iterative interleave refinement.
 
-A *window* is ``WINDOW`` consecutive words (maximal runs of bytes other than ASCII white space,
-compared exactly). A window is repeated when it occurs in two or more documents.
+A *window* is ``WINDOW`` consecutive words (maximal runs of bytes other than ASCII white space). Words are
+compared by 64-bit hashes of their bytes, segments by such hashes of their words. A window is repeated
+when it occurs in two or more documents.
 
 1. Every window is filed under its minimizer, the least hash of its ``GRAM``-word grams. Equal
    windows have equal minimizers, so consecutive windows with one minimizer form a *segment* whose
    repeats all lie in segments of the same key: no repeat is lost, and only small numbers are
-   shuffled. Equal segments are collapsed to one, with the documents they span.
-2. Map tasks build the Burrows-Wheeler transform of each shard of the distinct segments of keys that
-   hold several.
+   shuffled. Keys of one document alone go. Equal segments are collapsed to one, with the documents they
+   span, by aggregations that begin where the segments are: no task gets all copies of a passage.
+2. Map tasks build the Burrows-Wheeler transform of each shard of the distinct segments.
 3. Reduce tasks merge the shards' transforms. Rows start in shard order within their first symbol; each
    round refines the interleave by one more symbol, following every row to the row of the rest of
    its suffix, and splits blocks of rows that tie so far. A split in round h is a longest common
-   prefix of h. Blocks left after WINDOW symbols are the repeated intervals. No suffixes are compared
-   or sorted again across shards.
+   prefix of h. Stretches of places whose common prefixes reach WINDOW symbols are the repeated
+   intervals. No suffixes are compared or sorted again across shards.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import keys_in, passes, plain, ragged, range_hashes, word_spans
+from quern.llm.common import keys_in, passes, plain, ragged, range_hashes, trimmed, word_spans
 from quern.runtime import Workspace, prepare
 
 WINDOW = 50
@@ -98,8 +99,8 @@ def merge(transforms: list[np.ndarray], sequences: list[int], depth: int):
     """Interleave shard transforms and refine until ``depth`` symbols are compared.
 
     Returns (sequence number and offset of each row, rows of repeated intervals in order, the
-    interval of each of them, common-prefix lengths found at each place of the interleave, 0 where
-    still tied).
+    interval of each of them, the common prefix of each place of the interleave with the one before, ``depth`` where
+    it reaches that).
     """
     sizes = np.array([len(t) for t in transforms])
     base = np.cumsum(sizes) - sizes
@@ -150,7 +151,12 @@ def merge(transforms: list[np.ndarray], sequences: list[int], depth: int):
         block[active] = place[np.maximum.accumulate(np.where(new, i, 0))]
         prefix[place[new & ~head]] = h
         active = _tied(active, new)
-    return seq_of, off_of, active, block[active], np.maximum(prefix, 0)
+    prefix[prefix < 0] = depth
+    # a repeated interval is a stretch of places that share ``depth`` symbols with the place before
+    far = prefix >= depth
+    inside = np.flatnonzero(far | np.append(far[1:], False))
+    first = np.maximum.accumulate(np.where(far, 0, np.arange(total)))
+    return seq_of, off_of, np.argsort(block, kind="stable")[inside], first[inside], prefix
 
 
 def _tied(order: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -166,7 +172,7 @@ def _pack(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-META = ("key", "seg", "doc", "tag", "start", "n", "last")
+META = ("key", "seg", "doc", "tag", "n", "last")
 
 
 def merged_runs(shards: list[dict[str, np.ndarray]], window: int) -> dict[str, np.ndarray]:
@@ -226,15 +232,13 @@ def _repeats(ws: Workspace, docs: DataFrame, window: int, gram: int) -> DataFram
                 row, start, n, key, seg = segments(_words(data, starts, ends), counts, window, gram)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, seg, ids[i + row], tags[i + row], start.astype(np.int32), n.astype(np.int32))], names=["key", "seg", "doc_id", "tag", "start", "n"])
 
-    filed = docs.mapInArrow(file_windows, "key bigint, seg bigint, doc_id bigint, tag bigint, start int, n int")
-    same = Window.partitionBy("key", "seg").orderBy("doc_id", "tag", "start").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    alike = Window.partitionBy("key")
-    filed = filed.repartition("key").select("*", F.first("doc_id").over(same).alias("f_doc"), F.first("tag").over(same).alias("f_tag"), F.first("start").over(same).alias("f_start"), F.last("doc_id").over(same).alias("last"))
-    filed = filed.select("*", (F.min("seg").over(alike) < F.max("seg").over(alike)).alias("several"), (F.min("doc_id").over(alike) < F.max("doc_id").over(alike)).alias("across")).filter("across").drop("across")
-    occ = ws.save(filed, "occurrences")
-
-    reps = occ.filter("several and doc_id = f_doc and tag = f_tag and start = f_start").dropDuplicates(["key", "seg"])
-    size = occ.filter("several and doc_id = f_doc and tag = f_tag and start = f_start").agg(F.sum(F.col("n").cast("bigint") + window - 1)).first()[0] or 0
+    filed = ws.save(docs.mapInArrow(file_windows, "key bigint, seg bigint, doc_id bigint, tag bigint, start int, n int"), "filed")
+    across = ws.save(filed.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y").select("key"), "across")
+    occ = ws.save(keys_in(filed, across, "key"), "occurrences")
+    ws.drop("filed")
+    place = F.struct("doc_id", "tag", "start")
+    reps = ws.save(occ.groupBy("key", "seg").agg(F.min(place).alias("f"), F.min("n").alias("n"), F.max("doc_id").alias("last")).select("key", "seg", "f.*", "n", "last"), "segments")
+    size = reps.agg(F.sum(F.col("n").cast("bigint") + window - 1)).first()[0] or 0
     buckets = max(1, -(-size // MERGE_WORDS))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,10 +261,10 @@ def _repeats(ws: Workspace, docs: DataFrame, window: int, gram: int) -> DataFram
                 part = want.slice(i, j - i)
                 row = np.repeat(np.arange(j - i), pc.list_value_length(part).to_numpy(zero_copy_only=False))
                 flat = part.flatten()
-                meta = {k: flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("key", "seg", "start", "n", "last")}
+                meta = {k: flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("key", "seg", "n", "last")}
                 meta["doc"], meta["tag"] = batch.column("doc_id").to_numpy()[i + row], batch.column("tag").to_numpy()[i + row]
                 lengths = meta["n"] + window - 1
-                held.append((_words(data, starts, ends)[ragged((np.cumsum(counts) - counts)[row] + meta["start"], lengths)], lengths, meta))
+                held.append((_words(data, starts, ends)[ragged((np.cumsum(counts) - counts)[row] + flat.field("start").to_numpy(zero_copy_only=False), lengths)], lengths, meta))
                 if sum(len(h[0]) for h in held) >= SHARD_WORDS:
                     yield from flush()
         if held:
@@ -286,15 +290,14 @@ def _repeats(ws: Workspace, docs: DataFrame, window: int, gram: int) -> DataFram
             yield from flush(shards)
 
     want = reps.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "seg", "start", "n", "last")).alias("want"))
-    shards = docs.join(want, ["doc_id", "tag"]).select("doc_id", "tag", "text", "want").mapInArrow(build, "bucket bigint, shard binary")
-    runs = shards.repartition(int(min(buckets, 4096)), "bucket").sortWithinPartitions("bucket").mapInArrow(refine, "key bigint, seg bigint, a bigint, b bigint, f_doc bigint, f_tag bigint")
+    shards = docs.join(want, ["doc_id", "tag"]).select("doc_id", "tag", "text", "want").mapInArrow(trimmed(build), "bucket bigint, shard binary")
+    runs = shards.repartition(int(min(buckets, 4096)), "bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(refine), "key bigint, seg bigint, a bigint, b bigint, f_doc bigint, f_tag bigint")
     runs = ws.save(runs, "runs")
 
     later = (F.col("doc_id") != F.col("f_doc")) | (F.col("tag") != F.col("f_tag"))
     ends = lambda a, b: ("doc_id", "tag", (F.col("start") + a).cast("bigint").alias("start"), (F.col("start") + b + F.lit(window - 1)).cast("bigint").alias("stop"), later.alias("later"))
-    whole = occ.filter("not several").select(*ends(F.lit(0), F.col("n")))
-    some = occ.filter("several").select("key", "seg", "doc_id", "tag", "start").join(runs, ["key", "seg"]).select(*ends(F.col("a"), F.col("b")))
-    return ws.save(whole.unionAll(some), "repeats")
+    found = occ.select("key", "seg", "doc_id", "tag", "start").join(runs, ["key", "seg"])
+    return ws.save(found.select(*ends(F.col("a"), F.col("b"))), "repeats")
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -322,7 +325,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 
     White space before a cut stays; a cut that reaches the end takes the white space before it too.
     ``n_chars``, if there, counts the new text. Documents of which nothing is left go; all others
-    stay, also those with null or empty texts or a null doc_id.
+    stay, also those with null or empty texts or a null doc_id. Column names may be of any letter case.
     """
     spark = prepare(docs.sparkSession)
     with Workspace(spark, "suffix-cuts") as ws:
@@ -332,11 +335,12 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     tagged = (F.col("__tag") == 0) | (F.col("__tag") == F.xxhash64(F.col("text").cast("string")))
     joined = docs.join(cuts, (F.col("doc_id").cast("bigint") == F.col("__id")) & tagged, "left").drop("__id", "__tag")
     names, kinds = docs.columns, dict(docs.dtypes)
+    text_at, count_at = (next((k for k, c in enumerate(names) if c.lower() == name), None) for name in ("text", "n_chars"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column("__cuts")
-            text = batch.column("text")
+            text = batch.column(text_at)
             fresh: dict[int, str] = {}
             marked = np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False))
             picked = text.take(pa.array(marked))
@@ -355,11 +359,11 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
             keep = np.array([not (k in fresh and not fresh[k].strip()) for k in range(len(text))], bool)
             out = []
             values = text.to_pylist() if fresh else None
-            for name in names:
-                column = batch.column(name)
-                if fresh and name == "text":
+            for at, name in enumerate(names):
+                column = batch.column(at)
+                if fresh and at == text_at:
                     column = pa.array([fresh.get(k, v) for k, v in enumerate(values)], column.type)
-                elif fresh and name == "n_chars" and kinds[name] in ("bigint", "int"):
+                elif fresh and at == count_at and kinds[name] in ("bigint", "int"):
                     column = pa.array([len(fresh[k]) if k in fresh else v for k, v in enumerate(column.to_pylist())], column.type)
                 out.append(column)
             yield pa.RecordBatch.from_arrays(out, names=names).filter(pa.array(keep))

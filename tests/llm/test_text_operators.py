@@ -102,6 +102,59 @@ def test_toxicity_on_awkward_rows(spark):
     assert toxicity.score(docs, toxicity.train(docs, twice)).count() == 300
 
 
+def test_toxicity_of_few_labels(spark):
+    """A model needs two texts of either class; else every text has the share of toxic ones among the labelled."""
+    docs, labels = toxic_corpus(spark, 40)
+    constant = lambda wanted: {r.toxicity for r in toxicity.score(docs, toxicity.train(docs, labels.filter(wanted))).collect()}
+    assert constant("false") == {0.0} and constant("toxic = 0") == {0.0} and constant("toxic = 1") == {1.0}
+    assert constant("doc_id < 4") == {0.25}
+    model = toxicity.train(docs, labels.filter("doc_id < 12"))
+    assert model.constant is None and all(0 <= r.toxicity <= 1 for r in toxicity.score(docs, model).collect())
+
+
+def test_features_match_brute_force():
+    texts = ["You are a SNORKLE, you!!", "", None, "cl3an text? yes", "aaab  ÉCLAT tu snorkles @t", "snorkle one two three four five six you", "x " * 9 + "GRIM grim grimwit"]
+    hashed = lambda items: range_hashes(*toxicity._packed(items))
+    words = toxicity.Lookup(hashed(["snorkle", "grim"]))
+    stems = toxicity.Lookup(hashed(["grim"]) ^ np.uint64(4))
+    second = set(toxicity.SECOND_PERSON.split())
+    got = toxicity.features(pa.array(texts), words, stems)
+    for row, text in zip(got, texts):
+        raw, small = (text or "").encode(), lower(np.frombuffer((text or "").encode(), np.uint8)).tobytes()
+        spans = [(m.start(), m.end()) for m in re.finditer(rb"[0-9A-Za-z\x80-\xff@$*#%&+_]+", small)]
+        token = [small[a:b] for a, b in spans]
+        whole = [t in (b"snorkle", b"grim") for t in token]
+        stem = [len(t) > 4 and t[:4] == b"grim" for t in token]
+        hit = [a or b for a, b in zip(whole, stem)]
+        you = [t.decode() in second for t in token]
+        near = [any(you[max(0, k - 5) : k + 6]) for k in range(len(token))]
+        n, chars, letters = max(len(token), 1), max(len(raw), 1), max(len(re.findall(rb"[A-Za-z\x80-\xff]", small)), 1)
+        want = [
+            sum(hit) / n, sum(stem) / n, np.log1p(sum(hit)), sum(a and b for a, b in zip(hit, near)) / n, sum(you) / n, len(re.findall(rb"[A-Z]", raw)) / letters,
+            sum(b - a > 2 and re.fullmatch(rb"[A-Z]+", raw[a:b]) is not None for a, b in spans) / n, raw.count(b"!") / chars, raw.count(b"?") / chars,
+            len(re.findall(rb"[!-/:-@\[-`{-~]", raw)) / chars, sum(bool(re.search(rb"[A-Za-z\x80-\xff]", t)) and bool(re.search(rb"[0-9@$*#%&+_]", t)) for t in token) / n,
+            sum(small[k] == small[k - 1] == small[k - 2] and bool(re.match(rb"[A-Za-z\x80-\xff]", small[k : k + 1])) for k in range(2, len(small))) / chars, np.log1p(len(token)),
+        ]
+        assert np.allclose(row, want), text
+
+
+def test_boosted_tree_splits_best():
+    """The first tree of depth 1 has the split of largest gain over all features and cuts, and Newton leaves."""
+    r = np.random.default_rng(3)
+    x = r.integers(0, 12, (400, 4)).astype(float)
+    y = ((x[:, 2] > 6) ^ (r.random(400) < 0.1)).astype(float)
+    trees = toxicity.Trees(rounds=1, depth=1, rate=0.2).fit(x, y)
+    grad, hess = y - y.mean(), np.full(400, y.mean() * (1 - y.mean()))
+    gain = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + 1)
+    best = max(((gain(x[:, j] <= c) + gain(x[:, j] > c), j, c) for j in range(4) for c in np.unique(x[:, j])[:-1]))
+    left = x[:, best[1]] <= best[2]
+    value = lambda m: 0.2 * grad[m].sum() / (hess[m].sum() + 1)
+    assert np.allclose(trees.raw(x), np.log(y.mean() / (1 - y.mean())) + np.where(left, value(left), value(~left)))
+    more = toxicity.Trees(rounds=30).fit(x, y)
+    loss = lambda f: np.log1p(np.exp(-np.where(y > 0, f, -f))).mean()
+    assert loss(more.raw(x)) < loss(trees.raw(x))
+
+
 def test_isotonic_is_the_least_squares_monotone_fit():
     score, y = np.array([0.0, 1, 2, 3, 4]), np.array([0.0, 1, 0, 1, 1])
     x, p = toxicity.isotonic(score, y)
@@ -343,12 +396,27 @@ def test_merge_equals_sorting_all_suffixes():
     for row, i in zip(rows, interval):
         got[i].add((seq[row], off[row]))
     assert {frozenset(g) for g in got.values()} == want
+    assert (prefix[1:] >= depth).sum() == sum(len(g) - 1 for g in want)
     ordered = sorted([[*map(int, s[o:]), -k] for k, s in enumerate(sequences) for o in range(len(s) + 1)])
     lcp = lambda a, b: next((n for n, (x, y) in enumerate(zip(a[:-1], b[:-1])) if x != y), min(len(a), len(b)) - 1)
     wanted = Counter(min(lcp(a, b), depth) for a, b in zip(ordered, ordered[1:]))
     assert Counter(prefix[1:].tolist())[1] == wanted[1] and Counter(prefix[1:].tolist())[2] == wanted[2]
 
 
+def test_a_passage_in_every_document_is_aggregated_where_it_is(spark):
+    r = random.Random(21)
+    passage = " ".join(words(r, 80))
+    rows = [(i, " ".join(words(r, r.randint(0, 30))) + " " + passage) for i in range(400)]
+    every, cut = brute_repeats(rows, 50)
+    got, cuts = defaultdict(set), Counter()
+    for x in suffix.repeated_passages(frame(spark, rows)).collect():
+        got[x.doc_id] |= set(range(x.start_word, x.start_word + x.n_words))
+        cuts[x.doc_id] += x.cut_words
+    assert got == every and cuts == Counter({i: len(cut.get(i, ())) for i in every})
+    source = __import__("inspect").getsource(suffix._repeats)
+    assert "Window" not in source and 'repartition("key")' not in source  # no task gets all occurrences of a key
+
+
 def test_repeats_sql(spark):
     tiny = "/root/testdata/sf0.001"
     assert rows_of(queries.QUERIES["op7_suffix_array_dedup"](spark, tiny)) == expected(database(tiny), queries.SQL["op7_suffix_array_dedup"])
@@ -435,6 +503,26 @@ def test_rates_of_skewed_mixtures_are_optimal(spark, shape):
     assert np.linalg.norm(off) <= max(1e-3 * np.linalg.norm(target), 1.002 * nearest)
 
 
+def test_mix_query_meets_targets(spark, tiny):
+    rows = queries.QUERIES["op1_mix_to_targets"](spark, tiny).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and all(r.tokens == len((texts[r.doc_id] or "").split()) for r in rows)
+    total = sum(r.tokens for r in rows)
+    reached = sum(r.rate * r.tokens * np.array(r.posterior) for r in rows) / total
+    assert np.allclose(reached, list(queries.MIX.values()), atol=0.005)
+
+
+def test_domain_model_is_the_same_in_one_pass_and_many(monkeypatch):
+    from quern.llm import common
+
+    r = random.Random(14)
+    texts = [" ".join(words(r, r.randint(0, 60))) for _ in range(120)]
+    domain = np.array([r.randrange(3) for _ in texts])
+    one = mixing.DomainModel().fit(pa.array(texts), domain, 3).posteriors(pa.array(texts))
+    monkeypatch.setattr(common.passes, "__defaults__", (700,))
+    assert np.allclose(one, mixing.DomainModel().fit(pa.array(texts), domain, 3).posteriors(pa.array(texts)), atol=1e-6)
+
+
 def test_mix_on_awkward_rows(spark):
     docs, labels = mixed_corpus(spark, 200)
     odd = docs.unionByName(frame(spark, AWKWARD + [(7, "bread"), (7, "bread")])).withColumn("tokens", F.lit("mine")).withColumn("rate", F.lit(1)).withColumn("posterior", F.lit(2))

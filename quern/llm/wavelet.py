@@ -4,13 +4,16 @@ The ids of a shard's texts, end to end, are stored as bit-planes from the highes
 holds the bits of the ids in the order that the stable partition by the planes above left them in. With
 the running counts of ones, rank and select on the planes give access to any token, the count of a
 token in any range and the place of its k-th occurrence, from one compressed file.
+
+A file holds its planes in frames of FRAME bits, each compressed on its own, after a head with every
+frame's size and the ones before it. A look-up reads the head once, and then for each rank or bit the one frame
+of a plane that holds the place.
 """
 
 from __future__ import annotations
 
-import io
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,46 +25,68 @@ from quern.llm.bpe import merger, vocabulary_path
 from quern.llm.common import passes, plain
 from quern.runtime import prepare
 
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 #: Tokens after which a shard closes: with the last text of the numpy pass that reaches them.
 SHARD_TOKENS = 1 << 21
-BLOCK = 512  # bits for each entry of the rank directory
+#: Bits of a plane's frame, and bytes of it.
+FRAME = 1 << 15
+FRAME_BYTES = FRAME // 8
 
 
 class BitPlane:
-    """Bits with rank and select over a directory of running counts."""
+    """Bits with rank and select over a directory of the ones before each frame; frames are opened when needed."""
+
+    def __init__(self, size: int, directory: np.ndarray, load: Callable[[int], bytes] | None = None, packed: np.ndarray | None = None):
+        self.size, self.directory, self.load = size, directory, load
+        self.ones = int(directory[-1])
+        frames = len(directory) - 1
+        self.packed = np.zeros(frames * FRAME_BYTES, np.uint8)
+        self.before = np.zeros((frames, FRAME_BYTES), np.uint16)  # ones before each byte of its frame
+        self.opened = np.zeros(frames, bool)
+        if packed is not None:
+            self.packed[: len(packed)] = packed
+            self.load = lambda k: self.packed[k * FRAME_BYTES : (k + 1) * FRAME_BYTES].tobytes()
 
-    def __init__(self, packed: np.ndarray, size: int):
-        self.packed, self.size = packed, size
-        padded = np.zeros(-(-len(packed) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
+    @staticmethod
+    def of(bits: np.ndarray) -> "BitPlane":
+        packed = np.packbits(bits)
+        padded = np.zeros(-(-len(packed) // FRAME_BYTES) * FRAME_BYTES, np.uint8)
         padded[: len(packed)] = packed
-        ones = np.bitwise_count(padded.reshape(-1, BLOCK // 8)).sum(axis=1, dtype=np.int64)
-        self.directory = np.concatenate(([0], np.cumsum(ones)))
-        self.ones = int(self.directory[-1])
+        ones = np.bitwise_count(padded.reshape(-1, FRAME_BYTES)).sum(axis=1, dtype=np.int64)
+        return BitPlane(len(bits), np.concatenate(([0], np.cumsum(ones))), packed=packed)
+
+    def _open(self, i: np.ndarray) -> None:
+        for k in np.unique(i // FRAME):
+            if k < len(self.opened) and not self.opened[k]:
+                frame = np.frombuffer(self.load(int(k)), np.uint8)
+                self.packed[k * FRAME_BYTES : k * FRAME_BYTES + len(frame)] = frame
+                np.cumsum(np.bitwise_count(frame[:-1]), out=self.before[k, 1 : len(frame)], dtype=np.uint16)
+                self.opened[k] = True
 
     def get(self, i: np.ndarray) -> np.ndarray:
+        self._open(i)
         return (self.packed[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1
 
     def rank1(self, i: np.ndarray) -> np.ndarray:
         """Ones before each place."""
         i = np.atleast_1d(np.asarray(i, np.int64))
-        block = i // BLOCK
-        out = self.directory[block].copy()
-        left, shift = block * (BLOCK // 8), i - block * BLOCK
-        for k in range(BLOCK // 8):
-            inside = shift > 8 * k
-            if not inside.any():
-                break
-            byte = self.packed[np.minimum(left[inside] + k, len(self.packed) - 1)]
-            keep = np.minimum(shift[inside] - 8 * k, 8)
-            out[inside] += np.bitwise_count(byte & (0xFF00 >> keep).astype(np.uint8))
+        out = self.directory[np.minimum(i // FRAME, len(self.directory) - 1)].copy()
+        inside = np.flatnonzero(i % FRAME)
+        at = i[inside]
+        self._open(at)
+        byte = at >> 3
+        head = np.bitwise_count(self.packed[byte] & (0xFF00 >> (at & 7)).astype(np.uint8))
+        out[inside] += self.before.ravel()[byte].astype(np.int64) + head
         return out
 
     def select(self, bit: int, k: np.ndarray) -> np.ndarray:
-        """Place of the k-th (from 0) one or zero, by binary search on rank."""
+        """Place of the k-th (from 0) one or zero: its frame by the directory, then binary search in that frame."""
         k = np.atleast_1d(np.asarray(k, np.int64))
-        lo, hi = np.zeros(len(k), np.int64), np.full(len(k), self.size, np.int64)
-        while (hi - lo > 0).any():
+        starts = np.arange(len(self.directory)) * FRAME
+        upto = self.directory if bit else np.minimum(starts, self.size) - self.directory
+        lo = (np.searchsorted(upto, k, "right") - 1) * FRAME
+        hi = np.minimum(lo + FRAME - 1, self.size - 1)
+        while (hi > lo).any():
             mid = (lo + hi) // 2
             ones = self.rank1(mid + 1)
             enough = (ones if bit else mid + 1 - ones) > k
@@ -72,20 +97,22 @@ class BitPlane:
 class WaveletMatrix:
     """Tokens of one shard; all look-ups take and give numpy arrays."""
 
-    def __init__(self, planes: list[BitPlane], size: int, doc_ids: np.ndarray, lengths: np.ndarray):
+    def __init__(self, planes: list[BitPlane], size: int, doc_ids: np.ndarray, lengths: np.ndarray, known: np.ndarray | None = None):
         self.planes, self.size, self.doc_ids = planes, size, doc_ids
+        self.known = np.ones(len(doc_ids), bool) if known is None else known
         self.bounds = np.concatenate(([0], np.cumsum(lengths)))
         self.zeros = [size - p.ones for p in planes]
 
     @staticmethod
-    def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, width: int | None = None) -> "WaveletMatrix":
+    def build(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray, width: int | None = None, known: np.ndarray | None = None) -> "WaveletMatrix":
+        """``known`` tells which documents have an id."""
         width = width or max(1, int(ids.max()).bit_length() if len(ids) else 1)
         now, planes = ids.astype(np.uint32 if width > 16 else np.uint16), []
         for k in range(width - 1, -1, -1):
             bits = ((now >> k) & 1).astype(bool)
-            planes.append(BitPlane(np.packbits(bits), len(ids)))
+            planes.append(BitPlane.of(bits))
             now = np.concatenate([now[~bits], now[bits]])
-        return WaveletMatrix(planes, len(ids), np.asarray(doc_ids, np.int64), np.asarray(lengths, np.int64))
+        return WaveletMatrix(planes, len(ids), np.asarray(doc_ids, np.int64), np.asarray(lengths, np.int64), known)
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Tokens at these places."""
@@ -132,24 +159,41 @@ class WaveletMatrix:
         """Ids of the shard's n-th document."""
         return self.access(np.arange(self.bounds[n], self.bounds[n + 1]))
 
+    def names(self, documents: np.ndarray | None = None) -> pa.Array:
+        """Ids of documents (all by default); null where one has none."""
+        at = np.arange(len(self.doc_ids)) if documents is None else documents
+        return pa.array(self.doc_ids[at], pa.int64(), mask=~self.known[at])
+
     def to_bytes(self, level: int = 1) -> bytes:
-        packer = zstandard.ZstdCompressor(level=level)
-        parts = [self.doc_ids.tobytes(), np.diff(self.bounds).tobytes(), *(p.packed.tobytes() for p in self.planes)]
-        packed = [packer.compress(p) for p in parts]
-        head = struct.pack("<4sIQQ", MAGIC, len(self.planes), self.size, len(self.doc_ids))
-        return head + struct.pack(f"<{len(packed)}Q", *map(len, packed)) + b"".join(packed)
+        """The head (counts; sizes of the frames of the documents' columns and of all planes; ones before each frame), then the frames."""
+        pack = zstandard.ZstdCompressor(level=level).compress
+        columns = [pack(x.tobytes()) for x in (self.doc_ids, np.diff(self.bounds), self.known)]
+        frames = [pack(p.load(k)) for p in self.planes for k in range(len(p.directory) - 1)]
+        sizes = np.array([len(f) for f in columns + frames], np.uint32)
+        ones = np.concatenate([p.directory for p in self.planes])
+        head = pack(sizes.tobytes() + ones.tobytes())
+        return struct.pack("<4sIQQQ", MAGIC, len(self.planes), self.size, len(self.doc_ids), len(head)) + head + b"".join(columns + frames)
 
     @staticmethod
-    def from_bytes(blob: bytes) -> "WaveletMatrix":
-        source = io.BytesIO(blob)
-        magic, width, size, _ = struct.unpack("<4sIQQ", source.read(24))
+    def open(read: Callable[[int, int], bytes]) -> "WaveletMatrix":
+        """Look-ups in a file of which ``read(offset, size)`` gives bytes; the planes' frames are read as they are needed."""
+        start = struct.calcsize("<4sIQQQ")
+        magic, width, size, documents, head_size = struct.unpack("<4sIQQQ", read(0, start))
         if magic != MAGIC:
             raise ValueError("not a wavelet shard")
-        sizes = struct.unpack(f"<{width + 2}Q", source.read(8 * (width + 2)))
-        opener = zstandard.ZstdDecompressor()
-        parts = [opener.decompress(source.read(n)) for n in sizes]
-        planes = [BitPlane(np.frombuffer(p, np.uint8), size) for p in parts[2:]]
-        return WaveletMatrix(planes, size, np.frombuffer(parts[0], np.int64), np.frombuffer(parts[1], np.int64))
+        unpack = zstandard.ZstdDecompressor().decompress
+        head, per = unpack(read(start, head_size)), -(-size // FRAME)
+        sizes = np.frombuffer(head, np.uint32, 3 + width * per).astype(np.int64)
+        ones = np.frombuffer(head, np.int64, width * (per + 1), offset=4 * len(sizes)).reshape(width, per + 1)
+        at = start + head_size + np.cumsum(sizes) - sizes
+        frame = lambda k: unpack(read(int(at[k]), int(sizes[k])))
+        planes = [BitPlane(size, ones[p], lambda k, p=p: frame(3 + p * per + k)) for p in range(width)]
+        columns = [np.frombuffer(frame(k), kind) for k, kind in enumerate((np.int64, np.int64, bool))] if documents else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)]
+        return WaveletMatrix(planes, size, columns[0], columns[1], columns[2])
+
+    @staticmethod
+    def from_bytes(blob: bytes) -> "WaveletMatrix":
+        return WaveletMatrix.open(lambda offset, size: blob[offset : offset + size])
 
 
 SHARD_SCHEMA = "shard string, doc_ids array<bigint>, n_tokens bigint, payload binary"
@@ -159,7 +203,7 @@ def shards(docs: DataFrame, path: str | None = None, shard_tokens: int = SHARD_T
     """One row for each shard: (shard, doc_ids, n_tokens, payload), the payload being the whole file.
 
     A shard is a run of rows of one input partition, some ``shard_tokens`` long; nothing is shuffled. Texts of null are left
-    out, empty texts are documents without tokens, null ids are stored as -1, and a text longer than
+    out, empty texts are documents without tokens, null ids stay null, and a text longer than
     ``shard_tokens`` makes a shard of its own length. Other columns are not read.
     """
     prepare(docs.sparkSession)
@@ -174,18 +218,18 @@ def shards(docs: DataFrame, path: str | None = None, shard_tokens: int = SHARD_T
 
         def close() -> pa.RecordBatch:
             nonlocal done, held
-            doc = np.concatenate(names)
-            matrix = WaveletMatrix.build(np.concatenate(ids), doc, np.concatenate(lengths), width)
-            row = {"shard": pa.array([f"{part:06d}-{done:04d}"]), "doc_ids": pa.array([doc], pa.list_(pa.int64())), "n_tokens": pa.array([matrix.size], pa.int64()), "payload": pa.array([matrix.to_bytes()], pa.binary())}
+            doc = pa.concat_arrays(names)
+            matrix = WaveletMatrix.build(np.concatenate(ids), pa.compute.fill_null(doc, 0).to_numpy(zero_copy_only=False), np.concatenate(lengths), width, doc.is_valid().to_numpy(zero_copy_only=False))
+            row = {"shard": pa.array([f"{part:06d}-{done:04d}"]), "doc_ids": pa.ListArray.from_arrays(pa.array([0, len(doc)], pa.int32()), doc), "n_tokens": pa.array([matrix.size], pa.int64()), "payload": pa.array([matrix.to_bytes()], pa.binary())}
             ids.clear(), names.clear(), lengths.clear()
             done, held = done + 1, 0
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            doc_ids = pa.compute.fill_null(batch.column("doc_id"), -1).to_numpy(zero_copy_only=False)
+            doc_ids = batch.column("doc_id")
             for i, j, data, offsets in passes(batch.column("text")):
                 got, counts = tool.encode(data, offsets)
-                ids.append(got), names.append(doc_ids[i:j]), lengths.append(counts)
+                ids.append(got), names.append(doc_ids.slice(i, j - i)), lengths.append(counts)
                 held += len(got)
                 if held >= shard_tokens:
                     yield close()
@@ -228,7 +272,7 @@ def occurrences(shard_rows: DataFrame, token: int) -> DataFrame:
                 matrix = WaveletMatrix.from_bytes(payload.as_py())
                 at = matrix.occurrences(token)
                 doc = np.searchsorted(matrix.bounds, at, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(matrix.doc_ids[doc]), pa.array(at - matrix.bounds[doc])], names=["doc_id", "place"])
+                yield pa.RecordBatch.from_arrays([matrix.names(doc), pa.array(at - matrix.bounds[doc])], names=["doc_id", "place"])
 
     return shard_rows.select("payload").mapInArrow(find, "doc_id bigint, place bigint")
 

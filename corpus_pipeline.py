@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import bpe, minhash, mixing, queries, suffix, toxicity
-from quern.runtime import prepare, read_table, shared_dir
+from quern.runtime import Workspace, delete_path, prepare, read_table
 
 Stage = Callable[[SparkSession, DataFrame | None, str], DataFrame]
 
@@ -19,29 +18,42 @@ def _docs(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go."""
+    """Documents that score as toxic go; all others stay as they are, with whatever columns.
+
+    Null and empty texts score as texts without words, and stay. Without labels of both kinds nothing tells texts apart:
+    see ``toxicity.ToxicityModel.fit``.
+    """
     docs = _docs(spark, docs, sf_dir)
-    kept, _ = toxicity.split(docs, read_table(spark, sf_dir, "labels"))
-    return kept.select(*docs.columns)
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")), "__toxicity")
+    return scored.filter("__toxicity < 0.5").drop("__toxicity")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that of the least doc_id, as it is.
+
+    Null ids, null and empty texts stay; of rows with one doc_id and one text one stays.
+    """
     return minhash.keep_one(_docs(spark, docs, sf_dir))
 
 
 def cut_shared_passages(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document holds too are cut out."""
+    """Passages that a document of lesser doc_id holds too are cut out; documents of which nothing is left go.
+
+    Null ids, null, empty and short texts stay as they are; ``n_chars`` follows the text.
+    """
     return suffix.cut_repeats(_docs(spark, docs, sf_dir))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
-    """Rows are repeated or left out so that expected domain totals meet the target weights."""
+    """Rows are repeated or left out so that expected domain totals meet the target weights.
+
+    Null and empty texts stay once; equal rows are treated alike.
+    """
     return mixing.resample(_docs(spark, docs, sf_dir), queries.domain_labels(spark, sf_dir), queries.MIX)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame | None, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, exact): token ids of every text, checked by decoding them."""
+    """(doc_id, n_tokens, ids, exact): token ids of every text, checked by decoding them; nulls for a null text."""
     return bpe.round_trip(_docs(spark, docs, sf_dir))
 
 
@@ -58,10 +70,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each stage's rows are stored and read again."""
-    root, docs = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}", read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{root}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """All stages over the documents table; each stage's rows are stored and read again.
+
+    A stage's table goes once the next one is written; the last one when the driver ends.
+    """
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        with Workspace(spark, f"pipeline-{name}") as ws:
+            docs = ws.result(stage(spark, docs, sf_dir))
+        if before:
+            delete_path(spark, before)
+        before = ws.kept
     return docs

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import lower, passes, plain, range_hashes, spans, uniform, word_spans
+from quern.llm.common import lower, passes, plain, range_hashes, spans, trimmed, uniform
 from quern.runtime import prepare
 
 STEM_BYTES = (4, 5, 6, 7, 8)
@@ -251,11 +251,16 @@ class ToxicityModel:
 
     def fit(self, column: pa.Array, toxic: np.ndarray, folds: int = 5) -> "ToxicityModel":
         """Cross-fitted: a text's features come from a lexicon, and its score for calibration from trees,
-        that were fitted without its fold. The final lexicon and trees then use all texts."""
+        that were fitted without its fold. The final lexicon and trees then use all texts.
+
+        Each fold needs a text of either class, so there are at most as many folds as the smaller class has texts.
+        With under two texts of a class nothing tells the classes apart, and every text's probability is the
+        share of toxic texts among the labelled ones, 0 without any.
+        """
         toxic = np.asarray(toxic, bool)
-        self.constant = None
-        if toxic.all() or not toxic.any() or len(toxic) < 20:
-            self.constant = min(float(toxic.mean()) if len(toxic) else 0.0, 0.49 if len(toxic) < 20 else 1.0)
+        self.constant, folds = None, min(folds, int(toxic.sum()), int((~toxic).sum()))
+        if folds < 2:
+            self.constant = float(toxic.mean()) if len(toxic) else 0.0
             return self
         fold = np.empty(len(toxic), np.int64)
         for kind in (False, True):  # both classes in every fold
@@ -288,7 +293,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, seed: in
     """Fit on at most ``max_labelled`` labelled documents of each class, picked by a hash of doc_id.
 
     One task fits the model; the driver receives only the model. Labels of absent documents, null
-    labels and null ids are ignored; of conflicting labels of one id the largest holds.
+    labels and null ids are ignored; of conflicting labels of one id the largest holds; equal texts count once. How few
+    labels are treated is told by ``ToxicityModel.fit``. Capitals are those of ASCII.
     """
     spark = prepare(docs.sparkSession)
     marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -309,7 +315,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, seed: in
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     one = rows.repartition(1).sortWithinPartitions(uniform(F.col("doc_id"), seed + 1), "doc_id").select("text", "toxic")
-    found = one.mapInArrow(fit, "model binary").collect()
+    found = one.mapInArrow(trimmed(fit), "model binary").collect()
     return pickle.loads(bytes(found[0][0])) if found else ToxicityModel().fit(pa.array([], pa.string()), np.zeros(0, bool))
 
 

@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--keywords", nargs="*")
     p.add_argument("--no-conversion", action="store_true")
     p.add_argument("--conversion-table", nargs="+", help="files of phrase, tab, what it becomes (the first of several counts); instead of the built-in seed")
+    p.add_argument("--parallel-shards", action="store_true", help="each partition fills files of its own, without one order over all")
     p.add_argument("--max-mb", type=int, default=500)
     return p
 
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
             rows = ws.save(section_records(ready).withColumn("row", F.monotonically_increasing_id()), "sections")
             kept = ws.save(gated_records(rows, **options), "records")
             order = ["source_file", "section_no", "row"]  # two documents may share a name; stored rows keep their number
-            written = sinks.write_json_arrays(kept, f"{args.out}/{args.lang}", "text", order, limit, ["title", "text", "source_file"]).collect()  # one row a file
+            written = sinks.write_json_arrays(kept, f"{args.out}/{args.lang}", "text", order, limit, ["title", "text", "source_file"], parallel=args.parallel_shards).collect()  # one row a file
             faults = ready.filter("fault is not null").select("source_file", F.lit(None).cast("int").alias("section_no"), "fault").unionAll(rows.filter("fault is not null").select("source_file", "section_no", "fault"))
             if n := faults.count():
                 faults.write.mode("overwrite").json(f"{args.out}/{args.lang}_faults")
@@ -97,7 +98,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
             return [r.file for r in written]
 
     def save_images(images: object) -> list[str]:
-        rows = sinks.write_json_lines(images, f"{args.out}/{args.lang}", "images_", ["file_name"], limit, True, ["url", "title", "file_name", "page", "tag"])
+        rows = sinks.write_json_lines(images, f"{args.out}/{args.lang}", "images_", ["file_name"], limit, True, ["url", "title", "file_name", "page", "tag"], parallel=args.parallel_shards)
         return [r.file for r in rows.collect()]
 
     if args.task == "generate-all":

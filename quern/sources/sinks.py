@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.shards import MEBIBYTE, assign_parts, json_item, json_line
+from quern.operators.shards import MEBIBYTE, approximate_parts, assign_parts, json_item, json_line
 
 
 def file_system(folder: str) -> tuple[object, str]:
@@ -59,27 +59,33 @@ def _write_parts(numbered: DataFrame, folder: str, stem: str, suffix: str, as_ar
     return numbered.mapInPandas(run, "part_no bigint, file string, records bigint")
 
 
-def write_json_lines(rows: DataFrame, folder: str, stem: str, order: list[str], most: int = 500 * MEBIBYTE, close_after: bool = False, fields: list[str] | None = None) -> DataFrame:
+def _numbered(lined: DataFrame, order: list[str], most: int, parallel: bool, **rule: object) -> DataFrame:
+    """Parts of lines, in order inside each; ``parallel`` packs every partition for itself rather than all rows in one fold."""
+    if not parallel:
+        return assign_parts(lined, order, "__bytes", most, **rule).repartition("part_no").sortWithinPartitions("part_no", *order).select("part_no", "line")
+    return approximate_parts(lined.sortWithinPartitions(*order).select("line", "__bytes"), "__bytes", most).select("part_no", "line")
+
+
+def write_json_lines(rows: DataFrame, folder: str, stem: str, order: list[str], most: int = 500 * MEBIBYTE, close_after: bool = False, fields: list[str] | None = None, parallel: bool = False) -> DataFrame:
     """``<stem><n>.jsonl`` files of at most ``most`` bytes, but for single larger records; none for no rows.
 
     ``close_after`` ends a file once it has reached ``most`` rather than before. ``folder`` is one that
-    executors share.
+    executors share. With ``parallel`` each partition fills files of its own, whose numbers leave gaps; no row
+    is shuffled and none waits for another, but order holds inside files only, and ``close_after`` has no effect.
     """
     named = fields or rows.columns
     lined = rows.withColumn("line", json_line(*named)).withColumn("__bytes", F.octet_length("line") + 1)
-    numbered = assign_parts(lined, order, "__bytes", most, close_after=close_after)
-    return _write_parts(numbered.repartition("part_no").sortWithinPartitions("part_no", *order).select("part_no", "line"), folder, stem, ".jsonl", False)
+    return _write_parts(_numbered(lined, order, most, parallel, close_after=close_after), folder, stem, ".jsonl", False)
 
 
-def write_json_arrays(rows: DataFrame, folder: str, stem: str, order: list[str], most: int = 500 * MEBIBYTE, fields: list[str] | None = None) -> DataFrame:
+def write_json_arrays(rows: DataFrame, folder: str, stem: str, order: list[str], most: int = 500 * MEBIBYTE, fields: list[str] | None = None, parallel: bool = False) -> DataFrame:
     """``<stem>_part<n>.json`` files, each one JSON array indented by two blanks.
 
     A record counts as many bytes as its line has, and 10 for its layout where it may start a file.
     """
     named = fields or rows.columns
     lined = rows.withColumn("line", json_item(*named)).withColumn("__bytes", F.octet_length(json_line(*named)))
-    numbered = assign_parts(lined, order, "__bytes", most, overhead=10)
-    return _write_parts(numbered.repartition("part_no").sortWithinPartitions("part_no", *order).select("part_no", "line"), folder, f"{stem}_part", ".json", True)
+    return _write_parts(_numbered(lined, order, most, parallel, overhead=10), folder, f"{stem}_part", ".json", True)
 
 
 def export_pages(markdown: DataFrame, folder: str, suffix: str = ".md") -> DataFrame:

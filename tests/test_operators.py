@@ -152,6 +152,9 @@ def test_json_sinks(spark, tmp_path):
     one = sinks.write_json_arrays(df, f"file://{tmp_path}/deep/er", "arr", ["i"], 5000, ["title", "page"]).first()
     whole = [{"title": '引"號', "page": None}, {"title": "二", "page": "x"}, {"title": "三", "page": "y"}]
     assert open(one.file.removeprefix("file://"), encoding="utf-8").read() == json.dumps(whole, ensure_ascii=False, indent=2)
+    loose = sinks.write_json_lines(df.repartition(2), str(tmp_path / "p"), "out_", ["i"], 60, fields=["title", "page"], parallel=True).collect()
+    assert sorted(json.loads(x)["title"] for r in loose for x in open(r.file, encoding="utf-8")) == sorted(x["title"] for x in whole)
+    assert len({r.file for r in loose}) == len(loose) > 1
     assert sinks.write_json_lines(df.filter("false"), str(tmp_path), "none_", ["i"]).count() == 0
     line = df.filter("i = 1").select(shards.json_line("title", "page")).first()[0]
     assert line == json.dumps({"title": '引"號', "page": None}, ensure_ascii=False)

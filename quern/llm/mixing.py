@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import list_array, lower, passes, plain, range_hashes, uniform, word_spans
+from quern.llm.common import list_array, lower, passes, plain, range_hashes, trimmed, uniform, word_spans
 from quern.runtime import Workspace, prepare
 
 HASH_BITS = 16
@@ -47,38 +47,43 @@ class DomainModel:
     def fit(self, column: pa.Array, domain: np.ndarray, n_domains: int, rounds: int = 60, rate: float = 0.05, decay: float = 1e-4) -> "DomainModel":
         self.k = n_domains
         size = 1 << HASH_BITS
-        parts = list(word_features(column))
-        words = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64)
-        counts = np.concatenate([p[3] for p in parts]) if parts else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(len(counts)), counts)
+        parts = [(p[2].astype(np.uint16), p[3]) for p in word_features(column)]  # one numpy pass each
         prior = np.bincount(domain, minlength=n_domains) + 1.0
         self.bias = np.log(prior / prior.sum())
         self.weights = np.zeros((size, n_domains), np.float32)
-        if not len(words):
+        seen = np.full((size, n_domains), 0.5)
+        at = np.cumsum([0, *(len(counts) for _, counts in parts)])
+        for (words, counts), i in zip(parts, at):
+            kind = np.repeat(domain[i : i + len(counts)], counts)
+            for d in range(n_domains):
+                seen[:, d] += np.bincount(words[kind == d], minlength=size)
+        used = np.flatnonzero((seen > 0.5).any(axis=1))
+        if not len(used):
             return self
-        seen = np.stack([np.bincount(words[domain[row] == d], minlength=size) for d in range(n_domains)], axis=1) + 0.5
         start = np.log(seen / seen.sum(axis=0))
         start -= start.mean(axis=1, keepdims=True)
-        used = np.unique(words)
-        where = np.zeros(size, np.int64)
+        where = np.zeros(size, np.int32)
         where[used] = np.arange(len(used))
-        column_of, scale = where[words], 1.0 / np.maximum(counts, 1)
+        parts = [(where[words], counts) for words, counts in parts]
         target = np.eye(n_domains)[domain]
         w, b = start[used] * 1.0, self.bias.copy()
         g2 = np.full(w.shape, 1e-12)
-        at = np.cumsum(counts) - counts
-        full = counts > 0
         for _ in range(rounds):
-            score = np.tile(b, (len(counts), 1))
-            if full.any():
-                score[full] += np.add.reduceat(w[column_of], at[full], axis=0) * scale[full, None] * 10
-            p = np.exp(score - score.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            off = (p - target) / len(counts)
-            grad = np.stack([np.bincount(column_of, (off[:, d] * scale)[row], len(used)) for d in range(n_domains)], axis=1) * 10 + decay * w / len(used)
+            grad, drift = decay * w / len(used), np.zeros(n_domains)
+            for (words, counts), i in zip(parts, at):
+                scale, full = 1.0 / np.maximum(counts, 1), counts > 0
+                score = np.tile(b, (len(counts), 1))
+                if full.any():
+                    score[full] += np.add.reduceat(w[words], (np.cumsum(counts) - counts)[full], axis=0) * scale[full, None] * 10
+                p = np.exp(score - score.max(axis=1, keepdims=True))
+                p /= p.sum(axis=1, keepdims=True)
+                off = (p - target[i : i + len(counts)]) / len(domain)
+                drift += off.sum(axis=0)
+                for d in range(n_domains):
+                    grad[:, d] += np.bincount(words, np.repeat(off[:, d] * scale, counts), len(used)) * 10
             g2 += grad**2
             w -= rate * grad / np.sqrt(g2)
-            b -= 0.5 * off.sum(axis=0)
+            b -= 0.5 * drift
         self.weights[used], self.bias = w, b
         return self
 
@@ -114,7 +119,7 @@ def train_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_
         model = DomainModel().fit(table.column("text").combine_chunks(), number, len(domains))
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    found = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("text")).select("text", "domain").mapInArrow(fit, "model binary").collect()
+    found = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("text")).select("text", "domain").mapInArrow(trimmed(fit), "model binary").collect()
     return pickle.loads(bytes(found[0][0])) if found else DomainModel().fit(pa.array([], pa.string()), np.zeros(0, np.int64), len(domains))
 
 

@@ -15,7 +15,7 @@ Groups are connected components of verified pairs; exact copies follow their fir
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,8 @@ BUCKET_BITS, MANTISSA = 8, 10
 REGISTERS = 192
 ROWS_PER_BAND = 4
 BANDS = REGISTERS // ROWS_PER_BAND
+#: Texts of a bucket from which on it is compared in parts of about so many.
+HOT = 16_384
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[0x80:] = True
@@ -137,27 +139,61 @@ def estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.clip((equal - COLLISION) / (1 - COLLISION), 0, 1)
 
 
-def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, alike_by=lambda one, others: (estimate(one, others),) * 2) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a bucket to verify, enough for its connected components.
+Estimates = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
-    Every text is compared with all texts not yet joined to an earlier one by an estimate of
-    ``sure`` or more; pairs of at least ``least`` come out. So a bucket of n alike texts gives n - 1
-    pairs, and no pair is left out whose ends are not joined otherwise.
-    """
-    a, b = [], []
+
+def _compared(ids: np.ndarray, regs: np.ndarray, sure: float, alike_by: Estimates) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first of its group, text, other texts, their estimates): every text against all that are not yet joined to an
+    earlier one by an estimate of ``sure`` or more, by indices in order of ``ids``."""
     left = np.argsort(ids, kind="stable")
     while len(left):
-        queue, left = [left[0]], left[1:]
+        root, left = left[0], left[1:]
+        queue = [root]
         while queue and len(left):
             u = queue.pop()
             alike, at_most = alike_by(regs[u], regs[left])
+            yield root, u, left, alike, at_most
             joined = alike >= sure
-            out = left[at_most >= least]
-            a.append(np.full(len(out), ids[u]))
-            b.append(ids[out])
             queue += list(left[joined])
             left = left[~joined]
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
+
+
+def _plain_estimates(one: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (estimate(one, others),) * 2
+
+
+def _pairs(ids: np.ndarray, parts: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return (np.zeros(0, np.int64),) * 2
+    return np.concatenate([np.full(len(out), ids[u]) for u, out in parts]), ids[np.concatenate([out for _, out in parts])]
+
+
+def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket to verify, enough for its connected components.
+
+    Every text is compared with all texts not yet joined to an earlier one by an estimate of
+    ``sure`` or more; pairs of at least ``least`` come out. So a bucket of n alike texts gives n - 1
+    pairs, and no pair is left out whose ends are not joined otherwise.
+    """
+    return _pairs(ids, [(u, left[at_most >= least]) for _, u, left, _, at_most in _compared(ids, regs, sure, alike_by)])
+
+
+def cross_edges(ids: np.ndarray, regs: np.ndarray, side: np.ndarray, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs between two parts of a bucket (by ``side``), which with ``bucket_edges`` of either part are as good as those of both
+    together: of surely alike pairs one for any two groups that the parts have on their own, and all others."""
+    group = np.arange(len(ids))
+    for part in (np.flatnonzero(side == 0), np.flatnonzero(side == 1)):
+        for root, _, left, alike, _ in _compared(ids[part], regs[part], sure, alike_by):
+            group[part[left[alike >= sure]]] = part[root]
+    parts, joined = [], set()
+    for _, u, left, alike, at_most in _compared(ids, regs, sure, alike_by):
+        over = side[left] != side[u]
+        parts.append((u, left[over & (at_most >= least) & (alike < sure)]))
+        strong = left[over & (alike >= sure)]
+        kinds, first = np.unique(group[strong], return_index=True)
+        new = [k for k, g in zip(first, kinds.tolist()) if (group[u], g) not in joined and not joined.add((group[u], g))]
+        parts.append((u, strong[new]))
+    return _pairs(ids, [(u, out.astype(np.int64)) for u, out in parts])
 
 
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -265,28 +301,38 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
     once = buckets.filter("doc_id is null").groupBy("who").agg(F.min("band").alias("band")).select("band")
     wanted = ws.save(buckets.filter("doc_id is not null").select("band", "doc_id").join(once, "band", "left_semi"), "members")
     filled = wanted.join(reps.select("doc_id", "regs"), "doc_id")
+    # a bucket of many texts is compared part by part, and part against part, by as many tasks as that takes
+    many = wanted.groupBy("band").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("band", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
+    filled = filled.join(many, "band", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+    filled = filled.select("band", "doc_id", "regs", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    filled = filled.select("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "regs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(ids: list[np.ndarray], rows: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = bucket_edges(np.concatenate(ids), np.concatenate(rows), threshold - SLACK, threshold + 0.2, folded_estimates)
+        def flush(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], i: int, j: int) -> pa.RecordBatch:
+            ids, part, regs = (np.concatenate(x) for x in zip(*held))
+            limits = threshold - SLACK, threshold + 0.2, folded_estimates
+            a, b = bucket_edges(ids, regs, *limits) if i == j else cross_edges(ids, regs, (part == j).astype(np.int8), *limits)
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
-        key, ids, rows = None, [], []
+        key, held = None, []
         for batch in batches:
-            band, doc = batch.column("band").to_numpy(), batch.column("doc_id").to_numpy()
-            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(len(band), REGISTERS // 2)
-            cut = np.concatenate(([0], np.flatnonzero(band[1:] != band[:-1]) + 1, [len(band)])) if len(band) else [0]
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")], axis=1)
+            if not len(keys):
+                continue
+            doc, part = batch.column("doc_id").to_numpy(), batch.column("part").to_numpy()
+            data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(len(keys), REGISTERS // 2)
+            cut = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]))
             for lo, hi in zip(cut[:-1], cut[1:]):
-                if band[lo] != key:
-                    if ids:
-                        yield flush(ids, rows)
-                    key, ids, rows = band[lo], [], []
-                ids.append(doc[lo:hi])
-                rows.append(data[lo:hi])
-        if ids:
-            yield flush(ids, rows)
-
-    pairs = ws.save(filled.repartition("band").sortWithinPartitions("band").mapInArrow(compare, "a bigint, b bigint").filter("a <> b").distinct(), "pairs")
+                now = tuple(keys[lo].tolist())
+                if now != key:
+                    if held:
+                        yield flush(held, *key[1:])
+                    key, held = now, []
+                held.append((doc[lo:hi], part[lo:hi], data[lo:hi]))
+        if held:
+            yield flush(held, *key[1:])
+
+    pairs = ws.save(filled.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(compare, "a bigint, b bigint").filter("a <> b").distinct(), "pairs")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,8 +2,8 @@
 
 Tokens are words (lower case). The vocabulary is the ``VOCAB - BUCKETS`` most frequent words by counts
 over all documents, and BUCKETS classes for all other words, by hash; a word of a class has the class's
-probability times its share of the class's occurrences. The counts of those words stay in a stored table,
-which grows with the corpus and is joined to the texts to score. The network sees the ``SIDE``
+probability times its share of the class's occurrences. The counts of the most frequent ``KNOWN`` words at most go to every
+task; those of all others stay in a stored table, which grows with the corpus and is joined to the texts to score. The network sees the ``SIDE``
 tokens on each side of a place: the sum of their embeddings (one table for each offset) goes through
 tanh and predicts the masked token by a two-level softmax, first its class of ``GROUP`` tokens, then the
 token. Training is data-parallel: in each round every partition takes gradient steps from the common
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.common import list_array, lower, passes, plain, range_hashes, spans
@@ -26,8 +26,16 @@ from quern.runtime import Workspace, prepare
 
 VOCAB, GROUP, BUCKETS = 4096, 64, 512
 SIDE, WIDTH = 2, 24
-#: Of R training rounds, round k takes the places k, k + R, k + 2R, ... of every document: all places once.
-ROUNDS, BATCH = 2, 1024
+#: Of R training rounds, round k takes the texts whose hash leaves k: every place of every document is a target once.
+ROUNDS = 2
+#: Places of a step: the first number until a task has seen FEW of them in its round, then the second.
+BATCH, LATE_BATCH, FEW = 1024, 8192, 64 * 1024
+#: Places that are scored together.
+CHUNK = 16_384
+#: Words at most whose counts every task holds, 16 bytes each; and steps of a doubling of the count by which they are picked.
+KNOWN, STEPS = 1 << 19, 64
+#: Logarithms of counts are added up as whole numbers of this part, which gives the same in any order.
+UNIT = float(1 << 32)
 #: Weights of a block that one reducer row averages.
 BLOCK_ROWS = 512
 PAD = VOCAB
@@ -46,15 +54,26 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 class Vocabulary:
     """Frequent words by rank, other words by hash.
 
-    ``classes`` holds the occurrences of all words of each class, and ``tail`` the path of a stored table
-    (word, n) of the words of the classes that occur more than once; None where no word is left for them.
+    ``classes`` holds the occurrences of all words of each class, and ``known`` (word, n) of the most frequent
+    words. ``tail`` is the path of a stored table (word, n) of all other words that occur more than once; None where
+    there are none.
     """
 
-    def __init__(self, hashes: np.ndarray, classes: np.ndarray | None = None, tail: str | None = None):
+    def __init__(self, hashes: np.ndarray, classes: np.ndarray | None = None, known: tuple[np.ndarray, np.ndarray] | None = None, tail: str | None = None):
         self.order = np.argsort(hashes)
         self.sorted = np.asarray(hashes, np.int64)[self.order]
         self.classes = np.zeros(BUCKETS) if classes is None else classes
-        self.tail = tail
+        words, n = known or (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        by = np.argsort(words)
+        self.known, self.gains, self.tail = words[by], np.rint(np.log(n[by]) * UNIT).astype(np.int64), tail
+
+    def gain(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(logarithms of the counts of known words in UNITs, 0 for others; which words are known)."""
+        if not len(self.known):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+        hit = self.known[at] == words
+        return np.where(hit, self.gains[at], 0), hit
 
     def least_shares(self, tokens: np.ndarray) -> np.ndarray:
         """Log of the share of a word that occurs once in its class; 0 for frequent words.
@@ -72,24 +91,23 @@ class Vocabulary:
         return np.where(self.sorted[at] == words, self.order[at], other)
 
 
-def contexts(tokens: np.ndarray, counts: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+def contexts(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The 2 * SIDE neighbours of each place, PAD beyond a document's ends."""
-    row = np.repeat(np.arange(len(counts)), counts)
-    places = np.arange(len(tokens)) if places is None else places
-    out = np.full((len(places), 2 * SIDE), PAD, np.int64)
+    ends = np.cumsum(counts)
+    before = np.arange(len(tokens)) - np.repeat(ends - counts, counts)
+    after = np.repeat(ends, counts) - 1 - np.arange(len(tokens))
+    padded = np.full(len(tokens) + 2 * SIDE, PAD, np.int64)
+    padded[SIDE : SIDE + len(tokens)] = tokens
+    out = np.empty((len(tokens), 2 * SIDE), np.int64)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        near = places + d
-        ok = (near >= 0) & (near < len(tokens))
-        near = np.clip(near, 0, max(0, len(tokens) - 1))
-        ok &= row[near] == row[places]
-        out[ok, k] = tokens[near[ok]]
+        out[:, k] = padded[SIDE + d : SIDE + d + len(tokens)]
+        out[(before < -d) if d < 0 else (after < d), k] = PAD
     return out
 
 
-def round_places(counts: np.ndarray, k: int, rounds: int) -> np.ndarray:
-    """The places that round ``k`` of ``rounds`` trains on, by their number in their own document."""
-    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return np.flatnonzero(within % rounds == k)
+def of_round(text: Column, k: int, rounds: int) -> Column:
+    """Whether a text is of round ``k`` of ``rounds``."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(rounds)) == k
 
 
 class Network:
@@ -116,36 +134,52 @@ class Network:
 
     def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = context + np.arange(2 * SIDE) * (VOCAB + 1)
-        total = self.w["embed"][at[:, 0]]
+        total = np.take(self.w["embed"], at[:, 0], axis=0)
+        part = np.empty_like(total)
         for k in range(1, 2 * SIDE):
-            total += self.w["embed"][at[:, k]]
+            total += np.take(self.w["embed"], at[:, k], axis=0, out=part, mode="clip")
         out = np.ones((len(context), WIDTH + 1), np.float32)
         np.tanh(total, out=out[:, :-1])
         return at, out
 
     @staticmethod
-    def _log_softmax(score: np.ndarray) -> np.ndarray:
+    def _softmax(score: np.ndarray) -> np.ndarray:
+        """Softmax of each row, in place, of scores cut to what exp can take."""
+        np.clip(score, -80, 80, out=score)
+        np.exp(score, out=score)
+        score /= (score @ np.ones(score.shape[1], np.float32))[:, None]
+        return score
+
+    @staticmethod
+    def _log_chosen(score: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Log-softmax of the chosen column of each row; overwrites the scores."""
         score -= score.max(axis=1, keepdims=True)
-        return score - np.log(np.exp(score).sum(axis=1, keepdims=True))
+        out = score[np.arange(len(score)), chosen]
+        np.exp(score, out=score)
+        return out - np.log(score @ np.ones(score.shape[1], np.float32))
+
+    @staticmethod
+    def _by_group(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order of the targets by token, bounds of the groups in it)."""
+        order = np.argsort(target.astype(np.uint16), kind="stable")
+        return order, np.searchsorted(target[order], np.arange(0, VOCAB + 1, GROUP))
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target), np.float32)
-        token_out = self.w["token_out"].reshape(-1, GROUP, WIDTH + 1)
-        for a in range(0, len(target), 65_536):
-            t = target[a : a + 65_536]
-            _, h = self.hidden(context[a : a + 65_536])
-            group = t // GROUP
-            part = self._log_softmax(h @ self.w["group_out"].T)[np.arange(len(t)), group]
-            order = np.argsort(group, kind="stable")
-            bounds = np.searchsorted(group[order], np.arange(len(token_out) + 1))
-            for g in np.unique(group):
-                mine = order[bounds[g] : bounds[g + 1]]
-                part[mine] += self._log_softmax(h[mine] @ token_out[g].T)[np.arange(len(mine)), t[mine] % GROUP]
-            out[a : a + 65_536] = part
+        for a in range(0, len(target), CHUNK):
+            t = target[a : a + CHUNK]
+            order, bounds = self._by_group(t)
+            t = t[order]
+            _, h = self.hidden(context[a : a + CHUNK][order])
+            part = self._log_chosen(h @ self.w["group_out"].T, t // GROUP)
+            for g in np.flatnonzero(np.diff(bounds)):
+                mine = slice(bounds[g], bounds[g + 1])
+                part[mine] += self._log_chosen(h[mine] @ self.w["token_out"][g * GROUP : (g + 1) * GROUP].T, t[mine] - g * GROUP)
+            out[a + order] = part
         return out
 
     def _descend(self, name: str, rows: slice | np.ndarray, grad: np.ndarray, rate: float) -> None:
-        """AdaGrad with one running square for each row; rows are distinct."""
+        """AdaGrad with one running square for each row; rows are distinct. A gradient of zero leaves a row as it is."""
         if name not in self.squares:
             self.squares[name] = np.full(len(self.w[name]), 1e-6, np.float32)
         self.squares[name][rows] += np.einsum("ij,ij->i", grad, grad) / grad.shape[1]
@@ -153,26 +187,28 @@ class Network:
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One gradient step on the mean negative log-probability of a batch."""
-        n, group = len(target), target // GROUP
-        at, h = self.hidden(context)
-        p = np.exp(self._log_softmax(h @ self.w["group_out"].T))
-        p[np.arange(n), group] -= 1
-        back = p @ self.w["group_out"][:, :-1]
-        grad = p.T @ h / n
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(VOCAB // GROUP + 1))
-        for g in np.unique(group):
-            mine, rows = order[bounds[g] : bounds[g + 1]], slice(g * GROUP, (g + 1) * GROUP)
-            q = np.exp(self._log_softmax(h[mine] @ self.w["token_out"][rows].T))
-            q[np.arange(len(mine)), target[mine] % GROUP] -= 1
+        n = len(target)
+        order, bounds = self._by_group(target)
+        target, context = target[order], context[order]
+        _, h = self.hidden(context)
+        p = self._softmax(h @ self.w["group_out"].T)
+        p[np.arange(n), target // GROUP] -= 1
+        back, grad = p @ self.w["group_out"][:, :-1], p.T @ h
+        token_grad = np.zeros_like(self.w["token_out"])
+        for g in np.flatnonzero(np.diff(bounds)):
+            mine, rows = slice(bounds[g], bounds[g + 1]), slice(g * GROUP, (g + 1) * GROUP)
+            q = self._softmax(h[mine] @ self.w["token_out"][rows].T)
+            q[np.arange(len(q)), target[mine] - g * GROUP] -= 1
             back[mine] += q @ self.w["token_out"][rows, :-1]
-            self._descend("token_out", rows, q.T @ h[mine] / n, rate)
-        self._descend("group_out", slice(None), grad, rate)
+            np.dot(q.T, h[mine], out=token_grad[rows])
+        self._descend("token_out", slice(None), token_grad / n, rate)
+        self._descend("group_out", slice(None), grad / n, rate)
         back *= (1 - h[:, :-1] ** 2) / n
-        flat = at.ravel()
-        by = np.argsort(flat, kind="stable")
-        rows, head = np.unique(flat[by], return_index=True)
-        self._descend("embed", rows, np.add.reduceat(back[by // (2 * SIDE)], head, axis=0), rate)
+        columns, grad = np.ascontiguousarray(back.T, np.float64), np.empty((WIDTH, 2 * SIDE, VOCAB + 1))
+        for k in range(2 * SIDE):
+            for j in range(WIDTH):
+                grad[j, k] = np.bincount(context[:, k], columns[j], VOCAB + 1)
+        self._descend("embed", slice(None), grad.reshape(WIDTH, -1).T.astype(np.float32), rate)
 
     def blocks(self) -> Iterator[tuple[str, int, np.ndarray]]:
         for name in self.NAMES:
@@ -185,7 +221,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
 
     Word counts, and the weights that partitions send to be averaged, grow with the corpus; the driver
     receives the vocabulary and one set of weights. Whatever ``rounds`` is, every place of every document
-    is a target once. The same partitions give the same model.
+    is a target once, in the round of its text. The same partitions give the same model.
     """
     spark = prepare(docs.sparkSession)
 
@@ -209,21 +245,34 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
     with Workspace(spark, "pseudo-lm") as ws:
         counted = ws.save(docs.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "counts")
         frequent = counted.orderBy(F.desc("n"), "word").limit(VOCAB - BUCKETS).collect()
-        classes, tail = np.zeros(BUCKETS), None
+        classes, known, tail = np.zeros(BUCKETS), None, None
         if len(frequent) == VOCAB - BUCKETS:
             last = frequent[-1]
             rest = counted.filter((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
             for r in rest.groupBy((F.col("word") % BUCKETS).alias("at")).agg(F.sum("n").alias("n")).collect():
                 classes[r["at"]] = r.n
-            ws.result(rest.filter("n > 1"))
-            tail = ws.kept
-    vocabulary = Vocabulary(np.array([r.word for r in frequent], np.int64), classes, tail)
+            # the least size of counts from which on there are at most KNOWN words
+            sized = rest.filter("n > 1").withColumn("size", F.floor(F.log2("n") * STEPS))
+            least, held = None, 0
+            for r in sorted(sized.groupBy("size").count().collect(), key=lambda r: -r["size"]):  # at most 64 * STEPS rows
+                held += r["count"]
+                if held > KNOWN:
+                    break
+                least = r["size"]
+            if least is not None:
+                rows = sized.filter(F.col("size") >= least).select("word", "n").toArrow()  # at most KNOWN rows
+                known = tuple(rows.column(c).to_numpy() for c in ("word", "n"))
+            if held > KNOWN:
+                ws.result((sized if least is None else sized.filter(F.col("size") < least)).select("word", "n"))
+                tail = ws.kept
+    hashes = np.array([r.word for r in frequent], np.int64)
+    vocabulary, bare = Vocabulary(hashes, classes, known, tail), Vocabulary(hashes)  # training needs no counts
     counts = np.zeros(VOCAB)
     counts[: len(frequent)] = [r.n for r in frequent]
     counts[VOCAB - BUCKETS :] = classes
     network = Network().start_from_counts(counts)
     for k in range(rounds):
-        held = spark.sparkContext.broadcast(pickle.dumps((vocabulary, network)))
+        held = spark.sparkContext.broadcast(pickle.dumps((bare, network)))
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, net = pickle.loads(held.value)  # noqa: B023
@@ -234,23 +283,22 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
                 c, t = np.concatenate(context), np.concatenate(target)
                 by = np.random.default_rng(len(t)).permutation(len(t))
                 done = 0
-                while len(t) - done >= least:
-                    some = by[done : done + BATCH]
+                size = BATCH if seen <= FEW else LATE_BATCH
+                while len(t) - done >= min(least, size):
+                    some = by[done : done + size]
                     net.step(c[some], t[some], rate / (1 + k))  # noqa: B023
-                    done += BATCH
+                    done += size
                 context, target = [c[by[done:]]], [t[by[done:]]]
 
             for batch in batches:
                 for _, _, data, offsets in passes(batch.column("text")):
                     hashes, per = word_hashes(data, offsets)
                     tokens = words(hashes)
-                    places = round_places(per, k, rounds)  # noqa: B023
                     seen += len(tokens)
-                    if len(places):
-                        context.append(contexts(tokens, per, places))
-                        target.append(tokens[places])
-                if sum(map(len, target)) >= 64 * BATCH:
-                    steps(BATCH)
+                    context.append(contexts(tokens, per))
+                    target.append(tokens)
+                    if sum(map(len, target)) >= FEW:
+                        steps(LATE_BATCH)
             n = seen
             if target and sum(map(len, target)):
                 steps(1)
@@ -267,7 +315,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, rate: float = 0.2) -> tuple[Voc
             if sums:
                 yield pa.RecordBatch.from_pydict({"name": [x[0] for x in sums], "row": pa.array([x[1] for x in sums], pa.int64()), "weights": [(v / n).astype(np.float32).tobytes() for n, v in sums.values()]})
 
-        sent = docs.select("text").mapInArrow(learn, "name string, row bigint, n bigint, weights binary")
+        sent = docs.filter(of_round(F.col("text"), k, rounds)).select("text").mapInArrow(learn, "name string, row bigint, n bigint, weights binary")
         merged = sent.repartition("name", "row").mapInArrow(average, "name string, row bigint, weights binary").collect()
         if not merged:
             break
@@ -301,19 +349,24 @@ def score(docs: DataFrame, model: tuple[Vocabulary, Network] | None = None) -> D
                 total = np.zeros(len(tokens) + 1)
                 np.cumsum(net.log_probabilities(contexts(tokens, counts), tokens) + words.least_shares(tokens), out=total[1:])
                 ends = np.cumsum(counts)
-                rare = tokens >= VOCAB - BUCKETS
-                before = np.concatenate(([0], np.cumsum(rare)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(counts), pa.array(total[ends] - total[ends - counts]), list_array(hashes[rare], before[ends] - before[ends - counts])], names=["doc_id", "n_tokens", "least", "rare"])
+                rare = np.flatnonzero(tokens >= VOCAB - BUCKETS)
+                gains, hit = words.gain(hashes[rare])
+                known = np.zeros(len(tokens) + 1, np.int64)
+                known[rare + 1] = gains
+                np.cumsum(known, out=known)
+                rare = rare[~hit]
+                before = np.searchsorted(rare, np.concatenate(([0], ends)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(counts), pa.array(total[ends] - total[ends - counts]), pa.array(known[ends] - known[ends - counts]), list_array(hashes[rare], np.diff(before))], names=["doc_id", "n_tokens", "least", "known", "rare"])
 
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    scored = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, least double, rare array<bigint>")
+    scored = rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, least double, known bigint, rare array<bigint>")
+    total = (F.col("least") + F.col("known") / UNIT).alias("log_likelihood")
     if model[0].tail is None:
-        return scored.select("doc_id", "n_tokens", F.col("least").alias("log_likelihood")).withColumn("per_token", mean)
+        return scored.select("doc_id", "n_tokens", total).withColumn("per_token", mean)
     with Workspace(spark, "pseudo-lm") as ws:
         stored = ws.save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
         tail = spark.read.schema("word bigint, n bigint").parquet(model[0].tail)
-        # whole numbers add up alike in any order
-        more = F.sum(F.round(F.log("n") * float(1 << 32)).cast("bigint")) / float(1 << 32)
+        more = F.sum(F.round(F.log("n") * UNIT).cast("bigint"))
         gains = stored.select("row", F.explode("rare").alias("word")).join(tail, "word").groupBy("row").agg(more.alias("more"))
-        total = (F.col("least") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood")
-        return ws.result(stored.drop("rare").join(gains, "row", "left").select("doc_id", "n_tokens", total).withColumn("per_token", mean))
+        both = stored.drop("rare").join(gains, "row", "left").withColumn("known", F.col("known") + F.coalesce("more", F.lit(0)))
+        return ws.result(both.select("doc_id", "n_tokens", total).withColumn("per_token", mean))

@@ -257,6 +257,52 @@ def test_bucket_edges_join_what_all_pairs_join():
 
 
 @pytest.mark.parametrize("n", [3, 12, 40, 150, 3000])
+def joined(n, pairs):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(int(a)), find(int(b))
+        parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("noise", [0.05, 0.3, 0.45])
+def test_parts_of_a_bucket_join_what_the_bucket_joins(noise):
+    r = np.random.default_rng(17)
+    base = r.integers(0, 60000, (6, minhash.REGISTERS))
+    regs = np.stack([np.where(r.random(minhash.REGISTERS) < noise * r.random(), r.integers(0, 60000, minhash.REGISTERS), base[k % 6]) for k in range(150)]).astype(np.uint16)
+    ids, side = np.arange(150), r.integers(0, 3, 150)
+    whole = list(zip(*minhash.bucket_edges(ids, regs, 0.4, 0.7)))
+    parts = []
+    for i in range(3):
+        parts += zip(*minhash.bucket_edges(ids[side == i], regs[side == i], 0.4, 0.7))
+        for j in range(i + 1, 3):
+            some = (side == i) | (side == j)
+            cross = list(zip(*minhash.cross_edges(ids[some], regs[some], (side[some] == j).astype(int), 0.4, 0.7)))
+            assert all({side[a], side[b]} == {i, j} for a, b in cross)
+            parts += cross
+    assert joined(150, parts) == joined(150, whole)
+    if noise == 0.05:
+        assert len(parts) <= 150 - 6 + 2 * 6 * 3
+
+
+def test_hot_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT", 7)
+    r = random.Random(31)
+    text, rows = words(r, 60), copies(5)
+    for k in range(60):
+        variant = list(text)
+        variant[r.randrange(60)] = f"v{k}"
+        rows.append((1000 + k, " ".join(variant)))
+    got = minhash.near_duplicates(frame(spark, rows))
+    assert {(x.doc_id, x.keep_id) for x in got.collect()} == brute_groups(rows)
+
+
 def test_folded_estimate_is_near_jaccard(n):
     """For texts of any number of shingles, within what the cut-off allows for."""
     r = np.random.default_rng(11)

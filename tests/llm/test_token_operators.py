@@ -167,7 +167,31 @@ def test_shards_hold_every_token(spark, tmp_path):
 
 def test_wavelet_on_awkward_rows(spark):
     rows = wavelet.shards(frame(spark, [*AWKWARD, (7, "twice"), (7, "twice")]).withColumn("payload", F.lit(1)).coalesce(1)).collect()
-    assert len(rows) == 1 and sorted(rows[0].doc_ids) == [-1, 2, 3, 4, 5, 6, 7, 7, 7]
+    assert len(rows) == 1 and rows[0].doc_ids.count(None) == 1 and sorted(i for i in rows[0].doc_ids if i is not None) == [2, 3, 4, 5, 6, 7, 7, 7]
+    m = wavelet.WaveletMatrix.from_bytes(rows[0].payload)
+    assert m.names().to_pylist() == rows[0].doc_ids
+    real = wavelet.shards(frame(spark, [(-1, "a word"), (None, "a word")]).coalesce(1))
+    assert sorted(map(repr, real.first().doc_ids)) == ["-1", "None"]
+    token = bpe.encode_array(pa.array(["a word"]), bpe.merger(PATHS[0])).to_pylist()[0][0]
+    assert sorted(map(repr, (r.doc_id for r in wavelet.occurrences(real, token).collect()))) == ["-1", "None"]
+
+
+def test_a_token_costs_a_frame_of_each_plane():
+    r = np.random.default_rng(4)
+    x = r.integers(0, 50_000, 600_000)
+    blob, read = wavelet.WaveletMatrix.build(x, np.arange(3), np.array([200_000] * 3), 16).to_bytes(), []
+    m = wavelet.WaveletMatrix.open(lambda a, n: read.append(n) or blob[a : a + n])
+    head = sum(read)
+    assert head < 0.01 * len(blob)
+    for i in (0, 123_456, 599_999):
+        before = sum(read), len(read)
+        assert m.access(np.array([i]))[0] == x[i]
+        assert len(read) - before[1] <= 16 and sum(read) - before[0] <= 16 * (wavelet.FRAME_BYTES + 64)
+    before = len(read)
+    k = int((x[:300_000] == x[7]).sum()) - 1
+    assert m.select(int(x[7]), np.array([k]))[0] == np.flatnonzero(x == x[7])[k] and len(read) - before <= 16 * 3
+    assert m.count(int(x[7]), 100, 500_000) == int((x[100:500_000] == x[7]).sum())
+    assert (m.document(1) == x[200_000:400_000]).all()
 
 
 # ---- LM scores ----------------------------------------------------------------------------------
@@ -185,10 +209,50 @@ def test_context_predicts(spark):
     assert counts < -3.4 and network > counts + 1.5
 
 
-def test_rounds_train_on_every_place_once():
-    counts = np.array([1, 0, 5, 16, 33])
+def test_rounds_train_on_every_text_once(spark):
+    docs = frame(spark, [*AWKWARD, *((100 + k, f"text {k % 40}") for k in range(80))])
     for rounds in (1, pseudo_lm.ROUNDS, 7):
-        assert sorted(np.concatenate([pseudo_lm.round_places(counts, k, rounds) for k in range(rounds)])) == list(range(counts.sum()))
+        parts = [docs.filter(pseudo_lm.of_round(F.col("text"), k, rounds)) for k in range(rounds)]
+        assert sum(p.count() for p in parts) == len(AWKWARD) + 80
+
+
+def test_contexts_stay_inside_documents():
+    tokens, counts, pad = np.array([1, 2, 3, 4, 5, 6]), np.array([1, 0, 3, 2]), pseudo_lm.PAD
+    assert pseudo_lm.contexts(tokens, counts).tolist() == [[pad, pad, pad, pad], [pad, pad, 3, 4], [pad, 2, 4, pad], [2, 3, pad, pad], [pad, pad, 6, pad], [pad, 5, pad, pad]]
+    assert pseudo_lm.contexts(tokens[:0], counts[:0]).shape == (0, 4)
+
+
+def test_training_step_is_the_gradient_of_the_score():
+    """Every weight moves by AdaGrad along the gradient that finite differences of the score give."""
+    r, net = np.random.default_rng(5), pseudo_lm.Network()
+    net.w = {k: r.normal(0, 0.3, v.shape).astype(np.float32) for k, v in net.w.items()}
+    context, target = r.integers(0, pseudo_lm.VOCAB + 1, (40, 4)), r.integers(0, 300, 40)
+    context[:20] = context[0]
+
+    def loss(w):
+        total = 0.0
+        for c, t in zip(context, target):
+            h = np.append(np.tanh(sum(w["embed"][k * (pseudo_lm.VOCAB + 1) + x] for k, x in enumerate(c))), 1.0)
+            for table, at in ((w["group_out"], t // 64), (w["token_out"][t // 64 * 64 : t // 64 * 64 + 64], t % 64)):
+                s = table @ h
+                total -= s[at] - np.log(np.exp(s).sum())
+        return total / len(target)
+
+    w = {k: v.astype(float) for k, v in net.w.items()}
+    assert abs(loss(w) + net.log_probabilities(context, target).mean()) < 1e-4
+    before = {k: v.copy() for k, v in net.w.items()}
+    net.step(context, target, 0.1)
+    for name, row in (("embed", context[0, 0]), ("embed", pseudo_lm.VOCAB + 1 + context[25, 1]), ("group_out", target[3] // 64), ("token_out", target[3]), ("token_out", target[9])):
+        grad = np.zeros(w[name].shape[1])
+        for j in range(len(grad)):
+            for sign in (1, -1):
+                w[name][row, j] += sign * 1e-5
+                grad[j] += sign * loss(w) / 2e-5
+                w[name][row, j] -= sign * 1e-5
+        want = -0.1 * grad / np.sqrt(1e-6 + (grad**2).mean())
+        assert np.allclose(net.w[name][row] - before[name][row], want, atol=2e-3)
+    still = np.setdiff1d(np.arange(pseudo_lm.VOCAB + 1), context[:, 0])
+    assert (net.w["embed"][still] == before["embed"][still]).all()
 
 
 def test_scores_match_brute_force(spark):
@@ -207,14 +271,17 @@ def test_scores_match_brute_force(spark):
         assert abs(total - r.log_likelihood) < 1e-3 and r.n_tokens == len(tokens) and abs(r.per_token - total / len(tokens)) < 1e-3
 
 
-def test_rare_words_have_their_own_probability(spark):
-    """A class's words share its probability by their counts, and one word not seen fills it up to 1."""
+@pytest.mark.parametrize("known", [pseudo_lm.KNOWN, 700, 0])
+def test_rare_words_have_their_own_probability(spark, monkeypatch, known):
+    """A class's words share its probability by their counts, wherever those are, and one word not seen fills it up to 1."""
+    monkeypatch.setattr(pseudo_lm, "KNOWN", known)
     often = [f"often{k}" for k in range(pseudo_lm.VOCAB - pseudo_lm.BUCKETS)]
     times = {f"rare{k}": 1 + k % 7 for k in range(1500)}
     docs = frame(spark, [(k, " ".join(often)) for k in range(8)] + [(9, " ".join(w for w, n in times.items() for _ in range(n)))])
     vocabulary, net = model = pseudo_lm.train(docs)
     asked = [*times, "unheard"]
     got = {r.doc_id: r for r in pseudo_lm.score(frame(spark, list(enumerate(asked))), model).collect()}
+    assert (vocabulary.tail is None) == (known > 1500) and len(vocabulary.known) <= known and (len(vocabulary.known) > 0) == (known > 0)
     hashes = [int(pseudo_lm.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]) for w in asked]
     tokens = vocabulary(np.array(hashes))
     assert tokens.min() >= pseudo_lm.VOCAB - pseudo_lm.BUCKETS

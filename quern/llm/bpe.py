@@ -24,6 +24,8 @@ from quern.runtime import prepare
 #: Rows of a matrix: length buckets end at these byte counts; longer pieces are merged by the heap.
 LENGTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
 CACHE_PIECES = 400_000
+#: Ids that the cache holds at most before it starts anew.
+CACHE_IDS = 8 * CACHE_PIECES
 
 PIECE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -191,7 +193,8 @@ class Merger:
         self.token_ends = np.cumsum(sizes)
         self.token_starts = self.token_ends - sizes
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.cache: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros((0, WORDS), np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
+        #: Pieces by hash: their words, where their ids start in the pool and how many they are; the pool.
+        self.cache: tuple[np.ndarray, ...] = (np.zeros(0, np.uint64), np.zeros((0, WORDS), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -285,7 +288,7 @@ class Merger:
         ends = np.append(starts[1:], len(data))
         words, key, where, back = distinct_pieces(data, starts, ends)
         words, key = words[where], key[where]
-        have, have_words, have_at, have_ids = self.cache
+        have, have_words, have_start, have_count, have_ids = self.cache
         at = np.minimum(np.searchsorted(have, key), max(0, len(have) - 1))
         hit = (have_words[at] == words).all(axis=1) if len(have) else np.zeros(len(key), bool)
         new = np.flatnonzero(~hit)
@@ -293,7 +296,7 @@ class Merger:
         pool = np.concatenate([have_ids, fresh_ids])
         counts_of, start_of = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
         if len(have):
-            counts_of[hit], start_of[hit] = (have_at[1:] - have_at[:-1])[at[hit]], have_at[at[hit]]
+            counts_of[hit], start_of[hit] = have_count[at[hit]], have_start[at[hit]]
         counts_of[new], start_of[new] = fresh_counts, len(have_ids) + np.cumsum(fresh_counts) - fresh_counts
         counts = counts_of[back]
         ids = pool[ragged(start_of[back], counts)]
@@ -303,14 +306,18 @@ class Merger:
         return ids, np.diff(total[row])
 
     def _remember(self, key, words, start, count, pool, new) -> None:
-        have, have_words, have_at, _ = self.cache
-        if len(have) + len(new) > CACHE_PIECES:
-            have, have_words, have_at = have[:0], have_words[:0], have_at[:1]
-        keys, named = np.concatenate([have, key[new]]), np.concatenate([have_words, words[new]])
-        starts, counts = np.concatenate([have_at[:-1], start[new]]), np.concatenate([np.diff(have_at), count[new]])
-        _, order = np.unique(keys, return_index=True)
-        counts = counts[order]
-        self.cache = (keys[order], named[order], np.concatenate(([0], np.cumsum(counts))), pool[ragged(starts[order], counts)])
+        """Insert new pieces by hash; ids stay where they are in the pool until the cache starts anew."""
+        have, have_words, have_start, have_count, _ = self.cache
+        start, count = start[new], count[new]
+        if len(have) + len(new) > CACHE_PIECES or len(pool) > CACHE_IDS:
+            have, have_words, have_start, have_count = have[:0], have_words[:0], have_start[:0], have_count[:0]
+            pool, start = pool[ragged(start, count)], np.cumsum(count) - count
+        fresh, first = np.unique(key[new], return_index=True)
+        at = np.searchsorted(have, fresh)
+        lacking = at == len(have)
+        lacking[~lacking] = have[at[~lacking]] != fresh[~lacking]
+        fresh, first, at = fresh[lacking], first[lacking], at[lacking]
+        self.cache = (np.insert(have, at, fresh), np.insert(have_words, at, words[new[first]], axis=0), np.insert(have_start, at, start[first]), np.insert(have_count, at, count[first]), pool)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all rows end to end, bytes per row)."""

@@ -51,6 +51,19 @@ def test_every_pair_is_found_alone(path):
             assert tool.merge_pieces(data, np.array([0]), np.array([len(data)]))[0].tolist() == known.encode_ordinary(piece)
 
 
+@pytest.mark.parametrize("pieces,ids", [(40, 10**6), (10**6, 60), (10**6, 10**6)])
+def test_remembered_pieces_give_the_same_ids(monkeypatch, pieces, ids):
+    """Whether the cache of pieces starts anew often, by either bound, or never."""
+    monkeypatch.setattr(bpe, "CACHE_PIECES", pieces)
+    monkeypatch.setattr(bpe, "CACHE_IDS", ids)
+    tool, known, r = bpe.Merger(bpe.read_ranks(PATHS[0])), public_encoder(PATHS[0]), random.Random(19)
+    for _ in range(60):
+        texts = [" ".join("".join(r.choices("abcdestz", k=r.randint(1, 5))) for _ in range(12)) for _ in range(3)]
+        assert bpe.encode_array(pa.array(texts), tool).to_pylist() == [known.encode_ordinary(t) for t in texts]
+        keys, _, start, count, pool = tool.cache
+        assert len(keys) and (keys[1:] > keys[:-1]).all() and (start + count <= len(pool)).all()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_round_trips(text):

@@ -11,6 +11,7 @@ state is kept on executors.
 from __future__ import annotations
 
 import pickle
+import uuid
 import warnings
 from collections.abc import Iterator
 
@@ -41,13 +42,20 @@ def word_features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.n
         yield i, j, words, counts
 
 
+def training_parts(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hashed words, words per row) of one numpy pass each: all that a fit holds of texts, two bytes a word."""
+    return [(words.astype(np.uint16), counts) for _, _, words, counts in word_features(column)]
+
+
 class DomainModel:
     """Multinomial logistic model over length-normalised hashed words, started from smoothed log-odds."""
 
     def fit(self, column: pa.Array, domain: np.ndarray, n_domains: int, rounds: int = 60, rate: float = 0.05, decay: float = 1e-4) -> "DomainModel":
+        return self.fit_parts(training_parts(column), domain, n_domains, rounds, rate, decay)
+
+    def fit_parts(self, parts: list[tuple[np.ndarray, np.ndarray]], domain: np.ndarray, n_domains: int, rounds: int = 60, rate: float = 0.05, decay: float = 1e-4) -> "DomainModel":
         self.k = n_domains
         size = 1 << HASH_BITS
-        parts = [(p[2].astype(np.uint16), p[3]) for p in word_features(column)]  # one numpy pass each
         prior = np.bincount(domain, minlength=n_domains) + 1.0
         self.bias = np.log(prior / prior.sum())
         self.weights = np.zeros((size, n_domains), np.float32)
@@ -99,7 +107,8 @@ class DomainModel:
 
 
 def train_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_labelled: int = 4000, seed: int = 1) -> DomainModel:
-    """Fit on at most ``max_labelled`` labelled documents of each domain, picked by a hash of doc_id.
+    """Fit on at most ``max_labelled`` labelled rows of each domain, picked by a hash of doc_id and, where an id has
+    several texts, by one of the text. Of the texts, the task that fits holds one batch at a time.
 
     ``labelled`` has (doc_id, domain). Nulls, domains not listed and labels of absent documents are
     ignored; of several labels of an id the least domain holds. Without labels the posteriors are even.
@@ -114,12 +123,21 @@ def train_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], max_
     rows = plain(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_labelled ids a domain
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("domain", pa.string())]))
-        number = np.array([domains.index(d) for d in table.column("domain").to_pylist()], np.int64)
-        model = DomainModel().fit(table.column("text").combine_chunks(), number, len(domains))
+        parts, numbers, room = [], [], dict.fromkeys(domains, max_labelled)
+        for batch in batches:
+            names, some = batch.column("domain").to_pylist(), []
+            for i, name in enumerate(names):
+                if room[name] > 0:
+                    room[name] -= 1
+                    some.append(i)
+            parts += training_parts(batch.column("text").take(pa.array(some, pa.int64())))
+            numbers += [domains.index(names[i]) for i in some]
+        if not numbers:
+            return
+        model = DomainModel().fit_parts(parts, np.array(numbers, np.int64), len(domains))
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    found = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("text")).select("text", "domain").mapInArrow(trimmed(fit), "model binary").collect()
+    found = rows.repartition(1).sortWithinPartitions(uniform(F.col("doc_id"), seed), "doc_id", F.xxhash64("text")).select("text", "domain").mapInArrow(trimmed(fit), "model binary").collect()
     return pickle.loads(bytes(found[0][0])) if found else DomainModel().fit(pa.array([], pa.string()), np.zeros(0, np.int64), len(domains))
 
 
@@ -241,7 +259,23 @@ def _with_copies(df: DataFrame, steps: list[np.ndarray], k: int) -> DataFrame:
     out = df.withColumn("__tokens", F.col("__placed")[k].cast("bigint")).withColumn("__posterior", F.slice("__placed", 1, k))
     out = out.withColumn("__rate", _fold_rates(steps, k, "__tokens", "__posterior"))
     draw = F.col("__draw")
-    return out.withColumn("__copies", (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("bigint")).cast("int"))
+    return out.withColumn("__copies", (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("bigint")))
+
+
+#: Rows that ``_repeated`` makes at a time.
+BLOCK = 1 << 10
+
+
+def _repeated(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as often as the bigint column ``copies`` says, block by block.
+
+    Generated code holds all rows that come of one input row, and all that come of those in the same code; ``observe``
+    parts the code of blocks from that of rows, so that no more than a block is held.
+    """
+    up_to = lambda n: F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), n))  # noqa: E731  nothing comes of null
+    blocks = df.withColumn("__block", F.explode(up_to(F.ceil(F.col(copies) / BLOCK)))).observe(f"blocks-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
+    left = F.col(copies) - (F.col("__block") - 1) * BLOCK
+    return blocks.withColumn("__copy", F.explode(up_to(F.least(left, F.lit(BLOCK).cast("bigint"))))).drop("__block", "__copy")
 
 
 def _fit(ws: Workspace, docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None, max_labelled: int, seed: int):
@@ -282,5 +316,4 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], bu
         held, steps, _ = _fit(ws, docs, labelled, weights, budget, max_labelled, seed)
     rows = docs.withColumn("__draw", _draw(seed)).withColumn("__placed", _placed(F.col("text").cast("string"), held))
     rated = _with_copies(rows, steps, len(weights))
-    some = F.filter(F.sequence(F.lit(0), F.col("__copies")), lambda x: x > 0)
-    return rated.withColumn("__copy", F.explode(some)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _repeated(rated, "__copies").select(*[F.col(f"`{c}`") for c in docs.columns])

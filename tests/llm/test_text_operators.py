@@ -583,3 +583,27 @@ def test_mix_on_awkward_rows(spark):
     assert mixing.mix(odd, labels.filter("false"), WEIGHTS).count() == len(got)
     with pytest.raises(ValueError):
         mixing.mix(odd, labels, {"bread": -1.0})
+
+
+def test_domain_fit_bounds_rows_where_ids_repeat(spark):
+    """An id of many texts counts as ``max_labelled`` rows at most, and a text column that can't be null is one like others."""
+    docs = spark.createDataFrame([(1,)] * 40 + [(2,)], "doc_id bigint").withColumn("text", F.lit("the very same words"))
+    labels = spark.createDataFrame([(1, "bread"), (2, "stone")], "doc_id bigint, domain string")
+    model = mixing.train_domains(docs, labels, ["bread", "stone"], max_labelled=1)
+    assert np.allclose(model.posteriors(pa.array(["the very same words"])), 0.5, atol=1e-3)
+
+
+@pytest.mark.parametrize("block", [1, 3, 4, 1 << 16])
+def test_rows_are_repeated_block_by_block(spark, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK", block)
+    wanted = {1: 0, 2: 1, 3: 3, 4: 4, 5: 9, 6: 13, 7: None}
+    rows = spark.createDataFrame(list(wanted.items()), "doc_id bigint, n bigint")
+    assert Counter(r.doc_id for r in mixing._repeated(rows, "n").collect()) == Counter({i: n for i, n in wanted.items() if n})
+
+
+def test_copies_beyond_an_int(spark):
+    """A short text that makes up for a whole domain: its copies are no int."""
+    docs = frame(spark, [(1, "bread"), (2, "stone " * 50)])
+    labels = spark.createDataFrame([(1, "bread"), (2, "stone")], "doc_id bigint, domain string")
+    found = mixing.mix(docs, labels, {"bread": 0.9, "stone": 0.1}, budget=1e11).collect()
+    assert max(r.copies for r in found) > 1 << 32 and all(abs(r.copies - r.rate) < 1 for r in found)

@@ -120,6 +120,41 @@ def folded_estimates(one: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, n
     return np.clip(equal / np.maximum(either, 1), 0, 1), np.clip((equal + (either < FEW)) / np.maximum(either, 1), 0, 1)
 
 
+def bit_planes(folded: np.ndarray) -> np.ndarray:
+    """Folded registers as FOLD planes of REGISTERS bits, in as many bytes."""
+    each = np.stack([folded >> 4, folded & 15], axis=2).reshape(len(folded), REGISTERS)
+    return np.concatenate([np.packbits(each >> k & 1, axis=1) for k in range(FOLD)], axis=1)
+
+
+class Planes:
+    """Texts' folded registers by bit planes, and a plane of the registers that have a shingle: 64 registers a word, one
+    column a text. Indexed like rows of registers."""
+
+    def __init__(self, columns: np.ndarray):
+        self.columns = columns
+
+    @classmethod
+    def of(cls, planes: np.ndarray) -> "Planes":
+        words = np.ascontiguousarray(planes).view(np.uint64).reshape(len(planes), FOLD, -1).transpose(1, 2, 0)
+        return cls(np.concatenate([words, np.bitwise_or.reduce(words, axis=0, keepdims=True)]))
+
+    def __getitem__(self, at: object) -> "Planes":
+        return Planes(self.columns[..., at])
+
+
+def plane_estimates(one: Planes, others: Planes) -> tuple[np.ndarray, np.ndarray]:
+    """``folded_estimates`` of one text and others, or of texts two by two, at 64 registers an operation."""
+    a, b = one.columns if one.columns.ndim == 3 else one.columns[..., None], others.columns
+    count = lambda x: np.add.reduce(np.bitwise_count(x), axis=0, dtype=np.uint8).astype(np.int16)  # noqa: E731  REGISTERS at most
+    differ = a[0] ^ b[0]
+    for k in range(1, FOLD):
+        differ |= a[k] ^ b[k]
+    either = count(a[FOLD] | b[FOLD])
+    both = count(a[FOLD]) + count(b[FOLD]) - either
+    equal = (either - count(differ) - both / KINDS) / (1 - 1 / KINDS)
+    return np.clip(equal / np.maximum(either, 1), 0, 1), np.clip((equal + (either < FEW)) / np.maximum(either, 1), 0, 1)
+
+
 def bands(regs: np.ndarray) -> np.ndarray:
     """BANDS keys of 64 bits for each row."""
     n = len(regs)
@@ -139,23 +174,26 @@ def estimate(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.clip((equal - COLLISION) / (1 - COLLISION), 0, 1)
 
 
-Estimates = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+Registers = np.ndarray | Planes
+Estimates = Callable[[Registers, Registers], tuple[np.ndarray, np.ndarray]]
 
 
-def _compared(ids: np.ndarray, regs: np.ndarray, sure: float, alike_by: Estimates) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+def _compared(ids: np.ndarray, regs: Registers, sure: float, alike_by: Estimates) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first of its group, text, other texts, their estimates): every text against all that are not yet joined to an
     earlier one by an estimate of ``sure`` or more, by indices in order of ``ids``."""
     left = np.argsort(ids, kind="stable")
+    rows = regs[left]  # gathered anew only where texts leave
     while len(left):
-        root, left = left[0], left[1:]
+        root, left, rows = left[0], left[1:], rows[1:]
         queue = [root]
         while queue and len(left):
             u = queue.pop()
-            alike, at_most = alike_by(regs[u], regs[left])
+            alike, at_most = alike_by(regs[u], rows)
             yield root, u, left, alike, at_most
             joined = alike >= sure
-            queue += list(left[joined])
-            left = left[~joined]
+            if joined.any():
+                queue += list(left[joined])
+                left, rows = left[~joined], rows[~joined]
 
 
 def _plain_estimates(one: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +206,7 @@ def _pairs(ids: np.ndarray, parts: list[tuple[int, np.ndarray]]) -> tuple[np.nda
     return np.concatenate([np.full(len(out), ids[u]) for u, out in parts]), ids[np.concatenate([out for _, out in parts])]
 
 
-def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
+def bucket_edges(ids: np.ndarray, regs: Registers, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a bucket to verify, enough for its connected components.
 
     Every text is compared with all texts not yet joined to an earlier one by an estimate of
@@ -178,7 +216,7 @@ def bucket_edges(ids: np.ndarray, regs: np.ndarray, least: float, sure: float, a
     return _pairs(ids, [(u, left[at_most >= least]) for _, u, left, _, at_most in _compared(ids, regs, sure, alike_by)])
 
 
-def cross_edges(ids: np.ndarray, regs: np.ndarray, side: np.ndarray, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
+def cross_edges(ids: np.ndarray, regs: Registers, side: np.ndarray, least: float, sure: float, alike_by: Estimates = _plain_estimates) -> tuple[np.ndarray, np.ndarray]:
     """Pairs between two parts of a bucket (by ``side``), which with ``bucket_edges`` of either part are as good as those of both
     together: of surely alike pairs one for any two groups that the parts have on their own, and all others."""
     group = np.arange(len(ids))
@@ -282,7 +320,7 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
                 some = np.flatnonzero(counts)
                 part = batch.slice(i, j - i).take(pa.array(some))
                 own = own_registers(hashes, counts[some])
-                folded = fold(*own)
+                folded = bit_planes(fold(*own))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("d1"), part.column("d2"), binary_array(folded, folded.shape[1]), list_array(bands(fill(*own)), np.full(len(some), BANDS))], names=["doc_id", "d1", "d2", "regs", "bands"])
 
     rows = docs.dropna().select("doc_id", F.xxhash64("text", F.lit(1)).alias("d1"), F.xxhash64("text", F.lit(2)).alias("d2"), "text")
@@ -310,8 +348,11 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], i: int, j: int) -> pa.RecordBatch:
             ids, part, regs = (np.concatenate(x) for x in zip(*held))
-            limits = threshold - SLACK, threshold + 0.2, folded_estimates
+            limits, regs = (threshold - SLACK, threshold + 0.2, plane_estimates), Planes.of(regs)
             a, b = bucket_edges(ids, regs, *limits) if i == j else cross_edges(ids, regs, (part == j).astype(np.int8), *limits)
+            return edges(a, b)
+
+        def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
         key, held = None, []
@@ -322,7 +363,14 @@ def _groups(ws: Workspace, docs: DataFrame, threshold: float, shingle: int) -> D
             doc, part = batch.column("doc_id").to_numpy(), batch.column("part").to_numpy()
             data = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint8).reshape(len(keys), REGISTERS // 2)
             cut = np.concatenate(([0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]))
-            for lo, hi in zip(cut[:-1], cut[1:]):
+            # most buckets hold two texts: those that end in this batch are compared all at once
+            two = (np.diff(cut) == 2) & (keys[cut[:-1], 1] == keys[cut[:-1], 2])
+            two[[0, -1]] = False
+            if two.any():
+                at = cut[:-1][two]
+                near = plane_estimates(Planes.of(data[at]), Planes.of(data[at + 1]))[1] >= threshold - SLACK
+                yield edges(doc[at][near], doc[at + 1][near])
+            for lo, hi in zip(cut[:-1][~two], cut[1:][~two]):
                 now = tuple(keys[lo].tolist())
                 if now != key:
                     if held:

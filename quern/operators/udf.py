@@ -15,7 +15,8 @@ def text_column(fn: Callable[..., object], kind: str, *columns: Column, faults:
     """``fn`` applied to the values of ``columns``; a null in the first one gives null.
 
     A row on which ``fn`` raises gives null: one malformed text does not fail a job. With ``faults`` the column is
-    struct(value, fault), and ``fault`` says what was raised.
+    struct(value, fault), and ``fault`` says what was raised; as more than one field of it is used, it counts as not
+    deterministic: else a filter on one field is moved below the others, and ``fn`` runs over each row twice.
     """
     from pyspark.sql import SparkSession
 
@@ -42,4 +43,5 @@ def text_column(fn: Callable[..., object], kind: str, *columns: Column, faults:
         for batch in batches:
             yield pa.array((one((v,)) for v in batch.to_pylist()), arrow)
 
-    return run(*columns) if len(columns) > 1 else run_one(*columns)
+    made = run if len(columns) > 1 else run_one
+    return (made.asNondeterministic() if faults else made)(*columns)

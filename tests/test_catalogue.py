@@ -18,3 +18,12 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sections_are_normalised_once(spark, tiny):
+    # converting and cleaning is one, normalising the other
+    assert _plan(catalogue.QUERIES["text_record_path"](spark, tiny)).count("ArrowEvalPython") == 2

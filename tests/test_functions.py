@@ -194,3 +194,33 @@ def test_rules_are_skipped_only_where_they_cannot_match():
                 plain = pattern.sub(to, plain)
             assert chain(text) == plain
     assert rules.needed("a+[xy]?(b|[cd])") in (("a",), ("b", "c", "d")) and rules.needed("x*") == () and rules.needed("(?:a|)") == ()
+
+
+def test_long_texts_are_scanned_by_what_they_hold():
+    import re
+
+    from quern.functions import convert, rules
+
+    chains = [markup.CLEAN, markup._PLAIN_HEAD, normalize._PARAGRAPH, normalize._JOINED, normalize._FIELDS, normalize._MARKS, normalize._SPACING, normalize._RESIDUE, wikitext._TABLES, wikitext._INLINE, wikitext._LINES, convert._SPACING]
+    r = random.Random(6)
+    parts = [*"[]{}|<>=#*+-_'\"`()（）「」『』，。；：、！？,.;:!?&$%^~@ \t\n　\x1f\x85 ", "ab ", "ſtat 1", "12", "3.5", "一二", "方面，", "date of", "出生地", "決賽", "<ref", "/>", "a.JPG。", "𠀀", "\ud800", "。。", "  "]
+    for k in range(400):
+        some = r.sample(parts, r.randint(1, len(parts)))
+        text = "天地玄黃 宇宙。" * (80 * (k % 2)) + "".join(r.choices(some, k=r.randint(0, 60)))
+        assert set(rules.distinct(text)) == set(text)
+        for chain in chains:
+            plain = text
+            for pattern, to, _ in chain.compiled:
+                plain = pattern.sub(to, plain)
+            assert chain(text) == plain, (text, chain.source)
+    # as the two rules were before
+    slow = [(re.compile(r"(?<!\d)\.(?!\d)"), ""), (re.compile(rf"([A-Za-z{rules.HAN}])\s+([,.;:!?；：。！？])"), r"\1\2"), (re.compile(rf"([{convert._CJK}])([A-Za-z0-9`$%^&*\-=+\\|/@#])"), r"\1 \2")]
+    fast = [normalize._MARKS.compiled[0], normalize._SPACING.compiled[1], convert._SPACING.compiled[7]]
+    for _ in range(3000):
+        text = "".join(r.choices("ab1。.,;！ \t\n天地#-", k=r.randint(0, 25)))
+        for (old, to), (new, also, _) in zip(slow, fast):
+            assert old.sub(to, text) == new.sub(also, text)
+    # what no text of Han characters and blanks can match is not tried on it
+    han = "天地玄黃 宇宙 洪荒。 " * 100
+    tried = [p.pattern for chain in (normalize._FIELDS, normalize._RESIDUE) for (p, _, _), (met, _, _) in zip(chain.compiled, chain.steps) if met(han, rules.distinct(han))]
+    assert tried == [r"([。！？])\1+", r"\s+", r"\s+"]

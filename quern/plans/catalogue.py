@@ -95,7 +95,9 @@ _HAN_SQL = f"replace({_SPACED_SQL}, ' ', '')"
 
 
 def _words() -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z\n]+", " "), " *\n[ \n]*", "\n"), F.lit(" \n"))
+    # letters one by one: a class of single characters is looked up in one table, ranges are tried one after the other
+    other = f"[^{_LETTERS}{_LETTERS.upper()}\n]++"
+    return F.trim(F.regexp_replace(F.regexp_replace("text", other, " "), " *\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def _spaced() -> Column:
@@ -106,6 +108,12 @@ def _han() -> Column:
     return F.replace(_spaced(), F.lit(" "), F.lit(""))
 
 
+def _ended_lines(end: str, between: str) -> Column:
+    """Lines of Han characters with ``between`` for line ends and ``end`` at the end, unless there are none; they are worked out once."""
+    end_lines = lambda han: F.when(han == "", "").otherwise(F.concat(F.replace(han, F.lit("\n"), F.lit(between)), F.lit(end)))
+    return F.get(F.transform(F.array(_han()), end_lines), F.lit(0))
+
+
 def _swap(c: Column, blank: str, line: str) -> Column:
     """``blank`` for blanks and ``line`` for line ends."""
     return F.replace(F.replace(c, F.lit(" "), F.lit(blank)), F.lit("\n"), F.lit(line))
@@ -304,7 +312,7 @@ _SENTENCES_SQL = f"case when {_HAN_SQL} = '' then '' else replace({_HAN_SQL}, ch
 
 
 def _sentences() -> Column:
-    return F.when(_han() == "", "").otherwise(F.concat(F.replace(_han(), F.lit("\n"), F.lit(f"{_LINE_END}\n")), F.lit(_LINE_END)))
+    return _ended_lines(_LINE_END, f"{_LINE_END}\n")
 
 
 @query(f"select doc_id, source as title, {_SENTENCES_SQL} as text from documents")
@@ -316,8 +324,7 @@ def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select doc_id, {_measures('s', _HAN_CLASS_SQL)} from (select doc_id, '「' || lang || '」(1.5)' || chr(10) || {_SENTENCES_SQL} as s from documents)")
 def quality_metrics_han(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = F.when(_han() == "", "").otherwise(F.concat(F.replace(_han(), F.lit("\n"), F.lit("。")), F.lit("。")))
-    rows = _docs(spark, sf_dir).select("doc_id", F.concat(F.lit("「"), "lang", F.lit("」(1.5)\n"), plain).alias("text"))
+    rows = _docs(spark, sf_dir).select("doc_id", F.concat(F.lit("「"), "lang", F.lit("」(1.5)\n"), _ended_lines("。", "。")).alias("text"))
     return quality.with_metrics(rows, gate=quality.HAN).drop("text")
 
 

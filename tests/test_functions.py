@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import pytest
@@ -197,8 +198,6 @@ def test_rules_are_skipped_only_where_they_cannot_match():
 
 
 def test_long_texts_are_scanned_by_what_they_hold():
-    import re
-
     from quern.functions import convert, rules
 
     chains = [markup.CLEAN, markup._PLAIN_HEAD, normalize._PARAGRAPH, normalize._JOINED, normalize._FIELDS, normalize._MARKS, normalize._SPACING, normalize._RESIDUE, wikitext._TABLES, wikitext._INLINE, wikitext._LINES, convert._SPACING]
@@ -224,3 +223,11 @@ def test_long_texts_are_scanned_by_what_they_hold():
     han = "天地玄黃 宇宙 洪荒。 " * 100
     tried = [p.pattern for chain in (normalize._FIELDS, normalize._RESIDUE) for (p, _, _), (met, _, _) in zip(chain.compiled, chain.steps) if met(han, rules.distinct(han))]
     assert tried == [r"([。！？])\1+", r"\s+", r"\s+"]
+
+
+def test_white_space_is_joined_without_a_pattern():
+    from quern.functions import rules
+
+    assert [change for _, change, _ in normalize._FIELDS.steps][-1] is rules.one_space
+    for text in ("", " ", "\n\t", "a", " a\x1f\x85b　c ", " a  b"):
+        assert rules.one_space(text) == re.sub(r"\s+", " ", text) and rules.one_blank(text) == re.sub("[\t ]+", " ", text)

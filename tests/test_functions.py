@@ -231,3 +231,8 @@ def test_white_space_is_joined_without_a_pattern():
     assert [change for _, change, _ in normalize._FIELDS.steps][-1] is rules.one_space
     for text in ("", " ", "\n\t", "a", " a\x1f\x85b　c ", " a  b"):
         assert rules.one_space(text) == re.sub(r"\s+", " ", text) and rules.one_blank(text) == re.sub("[\t ]+", " ", text)
+
+
+def test_lone_dots_are_sought_from_the_dot():
+    assert normalize._MARKS.compiled[0][0].pattern.startswith(r"\.")
+    assert [normalize._MARKS(t) for t in (".", "a.b", "1.b", "a.1", "1.1", "..", "1..1", "一.二.3.5.")] == ["", "ab", "1.b", "a.1", "1.1", "", "1..1", "一二.3.5."]

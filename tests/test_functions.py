@@ -236,3 +236,13 @@ def test_white_space_is_joined_without_a_pattern():
 def test_lone_dots_are_sought_from_the_dot():
     assert normalize._MARKS.compiled[0][0].pattern.startswith(r"\.")
     assert [normalize._MARKS(t) for t in (".", "a.b", "1.b", "a.1", "1.1", "..", "1..1", "一.二.3.5.")] == ["", "ab", "1.b", "a.1", "1.1", "", "1..1", "一二.3.5."]
+
+
+def test_repeated_marks_are_squeezed_without_a_pattern():
+    from quern.functions import rules
+
+    chain = Rules((r"([。！？])\1+", r"\1"), ("[.。]{2,}", "。"), ("，，+", "，"))
+    assert not any(getattr(change, "func", None) for _, change, _ in chain.steps)
+    for text in ("", "。", "。。。！！？", ".。..", "....", "a，，，b，", "。！。！！"):
+        assert [change(text) for _, change, _ in chain.steps] == [re.sub(p, to, text) for p, to in chain.source]
+    assert rules.squeeze("。。。a。。", "。") == "。a。"
